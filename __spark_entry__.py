@@ -6,6 +6,7 @@ Every query reads telemetry derived from the ``events`` table. Timestamps leave
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,8 @@ from gustmill.operators.whatif import (
     what_if_energy,
     what_if_turbine_energy,
 )
-from gustmill.sources.events import farms_of, scenarios_of, telemetry_from_events
+from gustmill.session import ensure_checkpoint_dir
+from gustmill.sources.events import farms_of, telemetry_from_events, wake_scenarios
 
 MINUTE, HOUR = 60.0, 3600.0
 CUTOFF = "2024-01-15T00:00:00Z"
@@ -61,7 +63,9 @@ def _closed(bronze: DataFrame) -> DataFrame:
 
 
 def _turbines(telemetry: DataFrame) -> DataFrame:
-    return turbine_layout(farms_of(telemetry))
+    """The turbine table, computed once: the operators measure it before they join it."""
+    ensure_checkpoint_dir(telemetry.sparkSession, tempfile.gettempdir())
+    return turbine_layout(farms_of(telemetry)).checkpoint()
 
 
 def _out(df: DataFrame) -> DataFrame:
@@ -161,7 +165,7 @@ def _scenario_compare(spark, sf_dir):
 
 
 def _turbine_layout(spark, sf_dir):
-    return _out(_turbines(_telemetry(spark, sf_dir)))
+    return _out(turbine_layout(farms_of(_telemetry(spark, sf_dir))))
 
 
 def _expected_power(spark, sf_dir):
@@ -180,7 +184,7 @@ def _expected_power(spark, sf_dir):
 def _wake_effective_speed(spark, sf_dir):
     telemetry = _telemetry(spark, sf_dir)
     rows = wake_effective_speed(
-        to_bronze(telemetry), _turbines(telemetry), scenarios_of(telemetry)
+        to_bronze(telemetry), _turbines(telemetry), wake_scenarios(spark)
     )
     columns = ["sim_run_id", "farm_id", "turbine_id", "event_time", "source"]
     return _out(rows.select(*columns, "wind_dir_deg", "wake_factor", "wind_speed_eff_mps"))
@@ -189,21 +193,21 @@ def _wake_effective_speed(spark, sf_dir):
 def _what_if_energy(spark, sf_dir):
     telemetry = _telemetry(spark, sf_dir)
     silver = clean_telemetry(to_bronze(telemetry))
-    return _out(what_if_energy(silver, _turbines(telemetry), scenarios_of(telemetry), HOUR))
+    return _out(what_if_energy(silver, _turbines(telemetry), wake_scenarios(spark), HOUR))
 
 
 def _what_if_turbine_energy(spark, sf_dir):
     telemetry = _telemetry(spark, sf_dir)
     silver = clean_telemetry(to_bronze(telemetry))
     return _out(
-        what_if_turbine_energy(silver, _turbines(telemetry), scenarios_of(telemetry), MINUTE)
+        what_if_turbine_energy(silver, _turbines(telemetry), wake_scenarios(spark), MINUTE)
     )
 
 
 def _what_if_compare(spark, sf_dir):
     telemetry = _telemetry(spark, sf_dir)
     wind = under_scenarios(clean_telemetry(to_bronze(telemetry)), "SIM-A", ["SIM-A", "SIM-B"])
-    kpis = what_if_energy(wind, _turbines(telemetry), scenarios_of(telemetry), HOUR)
+    kpis = what_if_energy(wind, _turbines(telemetry), wake_scenarios(spark), HOUR)
     return _out(scenario_compare(kpis, "SIM-A", "SIM-B"))
 
 

@@ -23,9 +23,9 @@ def measure(value: Column) -> Column:
     return F.when(~F.isnan(number), number)
 
 
-def out_of_range(column: str, lo: float, hi: float) -> Column:
-    """True where the reading is missing, NaN or outside ``[lo, hi]``; never NULL."""
-    return ~F.coalesce(measure(F.col(column)).between(lo, hi), F.lit(False))
+def out_of_range(column: str, lo: float, hi: float) -> str:
+    """SQL for: the reading is missing, NaN or outside ``[lo, hi]``. Never NULL."""
+    return f"({column} IS NULL OR isnan({column}) OR {column} < {lo}D OR {column} > {hi}D)"
 
 
 def add_range_flags(
@@ -33,11 +33,11 @@ def add_range_flags(
 ) -> DataFrame:
     """Add ``has_range_violation`` and ``range_violation_fields``; absent columns are skipped."""
     names = [
-        F.when(out_of_range(name, lo, hi), F.lit(name))
+        f"CASE WHEN {out_of_range(name, lo, hi)} THEN '{name}' END"
         for name, lo, hi in ranges
         if name in df.columns
     ]
-    listed = F.concat_ws(",", *names) if names else F.lit("")
+    listed = F.expr(f"concat_ws(',', {', '.join(names)})") if names else F.lit("")
     return df.withColumn("range_violation_fields", listed).withColumn(
         "has_range_violation", F.col("range_violation_fields") != ""
     )

@@ -15,12 +15,15 @@ def row_bytes() -> Column:
     return F.octet_length(F.to_json(F.struct("*")))
 
 
-def broadcaster(table: DataFrame, max_bytes: int | None = None) -> Callable[[DataFrame], DataFrame]:
-    """Measure ``table`` with one distributed aggregate; return how to join projections of it.
+def join_side(n_bytes: int | None) -> Callable[[DataFrame], DataFrame]:
+    """How to join projections of a table measured at ``n_bytes``.
 
     Below the bound they are hinted for broadcast. Beyond it they are left as they are, and the
     join shuffles, with AQE splitting its hot keys.
     """
-    limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
-    size = table.agg(F.sum(row_bytes()).alias("n")).first()["n"] or 0
-    return F.broadcast if size <= limit else lambda df: df
+    return F.broadcast if (n_bytes or 0) <= MAX_BROADCAST_BYTES else lambda df: df
+
+
+def measured_side(table: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """``join_side`` of ``table``, measured with one distributed aggregate."""
+    return join_side(table.agg(F.sum(row_bytes()).alias("n")).first()["n"])

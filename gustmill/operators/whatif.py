@@ -17,10 +17,10 @@ from gustmill.functions.physics import (
 )
 from gustmill.functions.quality import add_range_flags, measure
 from gustmill.operators.rollups import farm_kpis, hourly_energy
-from gustmill.operators.sizing import broadcaster
+from gustmill.operators.sizing import join_side, measured_side, row_bytes
 
 # Turbines held in one array; a larger farm is spread over several.
-MAX_BLOCK_TURBINES = 2000
+MAX_BLOCK_TURBINES = 500
 
 
 def expected_power(
@@ -29,7 +29,7 @@ def expected_power(
     """Add the power curve's answer to the recorded wind, and the gap to the recorded power."""
     speed = F.col("wind_speed_mps")
     rated = turbines.select("farm_id", "turbine_id", F.col("rated_power_kw").alias("_rated_kw"))
-    joined = telemetry.join(broadcaster(turbines)(rated), ["farm_id", "turbine_id"], "left")
+    joined = telemetry.join(measured_side(turbines)(rated), ["farm_id", "turbine_id"], "left")
     return (
         joined.withColumns(
             {
@@ -80,49 +80,57 @@ def _with_wind(rows: DataFrame) -> DataFrame:
 
 
 def _blocks(turbines: DataFrame, n_blocks: int) -> DataFrame:
-    """Each farm's turbines as arrays of ``(x_m, y_m)``, ``n_blocks`` per farm, in id order."""
+    """Each farm's coordinates as two lists in id order, in ``n_blocks`` rows per farm."""
     block = F.pmod(F.xxhash64("turbine_id"), F.lit(n_blocks))
     members = F.sort_array(F.collect_list(F.struct("turbine_id", "x_m", "y_m")))
-    bare = F.transform(members, lambda t: F.struct(t["x_m"].alias("x_m"), t["y_m"].alias("y_m")))
-    return turbines.groupBy("farm_id", block.alias("_block")).agg(bare.alias("_sources"))
+    return (
+        turbines.groupBy("farm_id", block.alias("_block"))
+        .agg(members.alias("_members"))
+        .selectExpr("farm_id", "_members.x_m AS _source_x", "_members.y_m AS _source_y")
+    )
 
 
 def _factor() -> Column:
-    """The fold, or NULL where the row lacks a place, a direction or parameters."""
-    names = ["_x", "_y", "_ux", "_uy", "_sources", "_strength", "_per_decay", "_per_width"]
-    known = F.col("_x").isNotNull() & F.col("_ux").isNotNull() & F.col("_strength").isNotNull()
-    return F.when(known, wake_factor(*[F.col(name) for name in names]))
+    return wake_factor(
+        "_x", "_y", "_ux", "_uy", "_source_x", "_source_y", "_strength", "_per_decay", "_per_width"
+    )
 
 
 def _sheltered(
-    telemetry: DataFrame, turbines: DataFrame, scenarios: DataFrame, max_block_turbines: int
+    telemetry: DataFrame,
+    turbines: DataFrame,
+    scenarios: DataFrame,
+    max_block_turbines: int = MAX_BLOCK_TURBINES,
+    named_only: bool = False,
 ) -> DataFrame:
     """Telemetry with ``wake_factor``, ``wind_speed_eff_mps`` and ``_rated_kw``."""
-    largest = turbines.groupBy("farm_id").count().agg(F.max("count")).first()[0] or 0
-    n_blocks = max(1, ceil(largest / max_block_turbines))
-    small_turbines, small_scenarios = broadcaster(turbines), broadcaster(scenarios)
-    places = small_turbines(_places(turbines))
-    params = small_scenarios(_params(scenarios))
-    blocks = small_turbines(_blocks(turbines, n_blocks))
+    farms = turbines.groupBy("farm_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(row_bytes()).alias("bytes")
+    )
+    measured = farms.agg(F.max("n").alias("n"), F.sum("bytes").alias("bytes")).first()
+    n_blocks = max(1, ceil((measured["n"] or 0) / max_block_turbines))
+    turbine_side = join_side(measured["bytes"])
+    places = turbine_side(_places(turbines))
+    blocks = turbine_side(_blocks(turbines, n_blocks))
+    params = measured_side(scenarios)(_params(scenarios))
     turbine, run = ["farm_id", "turbine_id"], ["sim_run_id"]
+    rows = telemetry.join(params, run, "left_semi") if named_only else telemetry
     if n_blocks == 1:
-        rows = _with_wind(
-            telemetry.join(places, turbine, "left")
-            .join(params, run, "left")
-            .join(blocks.drop("_block"), "farm_id", "left")
-        ).withColumn("wake_factor", _factor())
+        placed = rows.join(places, turbine, "left").join(params, run, "left")
+        faced = _with_wind(placed.join(blocks, "farm_id", "left"))
+        waked = faced.withColumn("wake_factor", _factor())
     else:
         pose = ["sim_run_id", "farm_id", "turbine_id", "wind_dir_deg"]
-        poses = telemetry.select(*pose).dropna().distinct()
+        poses = rows.select(*pose).dropna().distinct().join(places, turbine).join(params, run)
         factors = (
-            _with_wind(poses.join(places, turbine).join(params, run).join(blocks, "farm_id"))
+            _with_wind(poses.join(blocks, "farm_id"))
             .withColumn("_part", _factor())
             .groupBy(*pose)
             .agg(F.product("_part").alias("wake_factor"))
         )
-        rows = telemetry.join(factors, pose, "left").join(places, turbine, "left")
+        waked = rows.join(factors, pose, "left").join(places, turbine, "left")
     slowed = measure(F.col("wind_speed_free_mps")) * F.col("wake_factor")
-    return rows.withColumn(
+    return waked.withColumn(
         "wind_speed_eff_mps", F.when(slowed.isNotNull(), F.greatest(F.lit(0.0), slowed))
     ).select(*telemetry.columns, "wake_factor", "wind_speed_eff_mps", "_rated_kw")
 
@@ -135,9 +143,9 @@ def wake_effective_speed(
 ) -> DataFrame:
     """Add ``wake_factor`` and ``wind_speed_eff_mps``: free wind behind the farm's other turbines.
 
-    Farms of up to ``max_block_turbines`` fold one array per row, without a shuffle. For larger
-    farms the arrays are split into blocks: each distinct (run, farm, turbine, direction) is
-    folded per block, the block factors are multiplied, and the product is joined back.
+    Farms of up to ``max_block_turbines`` meet each row as one list, without a shuffle. For larger
+    farms the lists are split into blocks: each distinct (run, farm, turbine, direction) gets a
+    factor per block, the factors are multiplied, and the product is joined back.
     """
     return _sheltered(telemetry, turbines, scenarios, max_block_turbines).drop("_rated_kw")
 
@@ -159,11 +167,8 @@ def what_if_telemetry(
 
     Rows of runs that ``scenarios`` does not name are left out.
     """
-    named = telemetry.join(
-        broadcaster(scenarios)(scenarios.select("sim_run_id")), "sim_run_id", "left_semi"
-    )
     speed = F.col("wind_speed_eff_mps")
-    rows = _sheltered(named, turbines, scenarios, MAX_BLOCK_TURBINES)
+    rows = _sheltered(telemetry, turbines, scenarios, named_only=True)
     replaced = (
         rows.withColumns(
             {

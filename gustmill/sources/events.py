@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gustmill.schemas import FARMS, SCENARIOS, TELEMETRY, conform
@@ -14,6 +14,11 @@ CROSSWIND_SIGMA_M = 250.0
 FARM_SHAPE = {"n_rows": 3, "n_cols": 4, "spacing_m": 600.0, "rated_power_kw": 2000.0}
 
 
+def _label(letter: str, number: Column) -> Column:
+    """Letter and three digits, for numbers below 1000."""
+    return F.concat(F.lit(letter), F.lpad(number.cast("string"), 3, "0"))
+
+
 def telemetry_from_events(events: DataFrame) -> DataFrame:
     """One reading per event, every 500th twice, with faults at fixed strides of ``event_id``."""
     number, value, user = F.col("event_id"), F.col("value"), F.col("user_id")
@@ -32,14 +37,13 @@ def telemetry_from_events(events: DataFrame) -> DataFrame:
         .when(value > 250, "CUT_OUT")
         .otherwise("RUNNING")
     )
-    farm_number = F.floor(user / 12) % 3 + 1
     copies = F.when(every(500), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     rows = events.select("event_id", "ts", "user_id", "event_type", "value", F.explode(copies))
     return conform(
         rows.select(
             F.when(every(2), "SIM-A").otherwise("SIM-B").alias("sim_run_id"),
-            F.format_string("F%03d", farm_number).alias("farm_id"),
-            F.format_string("T%03d", user % 12 + 1).alias("turbine_id"),
+            _label("F", F.floor(user / 12) % 3 + 1).alias("farm_id"),
+            _label("T", user % 12 + 1).alias("turbine_id"),
             F.date_trunc("MINUTE", "ts").alias("event_time"),
             F.col("ts").alias("ingest_time"),
             (value / 10).alias("wind_speed_free_mps"),
@@ -61,13 +65,7 @@ def farms_of(telemetry: DataFrame) -> DataFrame:
     return conform(telemetry.select("farm_id").dropna().distinct().withColumns(shape), FARMS)
 
 
-def scenarios_of(telemetry: DataFrame) -> DataFrame:
-    """Wake parameters of every run the telemetry names."""
-    run = F.col("sim_run_id")
-    strength = F.coalesce(*[F.when(run == r, F.lit(s)) for r, s in RUN_STRENGTH.items()])
-    params = {
-        "wake_strength": strength,
-        "decay_length_m": F.lit(DECAY_LENGTH_M),
-        "crosswind_sigma_m": F.lit(CROSSWIND_SIGMA_M),
-    }
-    return conform(telemetry.select("sim_run_id").dropna().distinct().withColumns(params), SCENARIOS)
+def wake_scenarios(spark: SparkSession) -> DataFrame:
+    """Wake parameters of the two runs."""
+    rows = [(run, s, DECAY_LENGTH_M, CROSSWIND_SIGMA_M) for run, s in RUN_STRENGTH.items()]
+    return spark.createDataFrame(rows, SCENARIOS)

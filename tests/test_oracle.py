@@ -24,6 +24,10 @@ def _canonical(frame: pd.DataFrame) -> list[tuple]:
     return sorted(zip(*columns), key=repr)
 
 
+def _kind(dtype) -> str:
+    return "datetime" if str(dtype).startswith("datetime") else str(dtype)
+
+
 @pytest.fixture(scope="module", params=SCALES)
 def scale(request):
     connection = duckdb.connect()
@@ -44,4 +48,5 @@ def test_query_matches_sql(spark, scale, name):
     theirs = connection.execute(driver.oracle_sql()[name]).df()
     assert sorted(ours.columns) == sorted(theirs.columns)
     assert len(ours) > 0
+    assert ours.dtypes.sort_index().map(_kind).equals(theirs.dtypes.sort_index().map(_kind))
     assert _canonical(ours) == _canonical(theirs)
