@@ -15,6 +15,7 @@ SETTINGS = {
     "spark.sql.parquet.compression.codec": "zstd",
     # Layers hold one file per farm and hour; do not bill each of them as 4 MB when packing splits.
     "spark.sql.files.openCostInBytes": "1m",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Plans are built from many columns; skip recording the Python call site of each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
