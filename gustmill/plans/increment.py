@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gustmill.operators.increments import hours_present, pending_hours
+from gustmill.operators.increments import HOUR, hours_present
 
 # Above these bounds a filter or a broadcast gives way to a shuffled join.
 MAX_LITERALS = 5000
@@ -17,25 +17,24 @@ MAX_BROADCAST_ROWS = 200_000
 
 @dataclass(frozen=True)
 class Increment:
+    """``hours`` are the ``n_hours`` open ones among the ``n_present`` hours of a layer."""
+
     hours: DataFrame
     n_hours: int
     n_present: int
 
-    @property
-    def empty(self) -> bool:
-        return self.n_hours == 0
-
     def restrict(self, layer: DataFrame, keys: Sequence[str]) -> DataFrame:
         """Rows of ``layer`` whose ``keys``, all partition columns, belong to an open hour.
 
         An anti-join against the ledger prunes no folder, and neither does a semi-join against its
         result. So the open dates and runs, few by nature, go in as literals first.
         """
+        names = ["date", "sim_run_id"]
+        pairs = self.hours.select(*names).distinct().limit(MAX_LITERALS + 1).collect()
         rows = layer
-        for name in ("date", "sim_run_id"):
-            found = self.hours.select(name).distinct().limit(MAX_LITERALS + 1).collect()
-            if len(found) <= MAX_LITERALS:
-                rows = rows.filter(F.col(name).isin([row[name] for row in found]))
+        if len(pairs) <= MAX_LITERALS:
+            for name in names:
+                rows = rows.filter(F.col(name).isin(sorted({pair[name] for pair in pairs})))
         if self.n_hours == self.n_present:
             return rows.dropna(subset=list(keys))
         wanted = self.hours.select(*keys).distinct()
@@ -50,6 +49,8 @@ def open_increment(layer: DataFrame, closed: DataFrame) -> Increment:
     Checkpointed, so the filter, the join and the ledger entries of one run name the same hours
     whatever executors are lost or files arrive meanwhile.
     """
-    present = hours_present(layer).checkpoint()
-    pending = pending_hours(present, closed).checkpoint()
-    return Increment(pending, pending.count(), present.count())
+    marks = closed.select(*HOUR).withColumn("_closed", F.lit(True))
+    hours = hours_present(layer).join(marks, list(HOUR), "left").checkpoint()
+    is_open = F.col("_closed").isNull()
+    counts = hours.agg(F.count_if(is_open).alias("open"), F.count(F.lit(1)).alias("all")).first()
+    return Increment(hours.filter(is_open).drop("_closed"), counts["open"], counts["all"])

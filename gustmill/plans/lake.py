@@ -91,13 +91,13 @@ class Lake:
     ) -> str:
         """Clean the bronze hours silver has not closed yet. Late rows for closed hours are ignored."""
         bronze = self.bronze(dates)
-        if dates is None and bronze.select("sim_run_id").isEmpty():
-            raise ValueError("No data found in bronze")
         ensure_checkpoint_dir(self.spark, self.path("_state/checkpoints"))
         layer = bronze.withColumnRenamed("hour", "hour_key")
         increment = open_increment(layer, self.ledger.closed("silver", dates))
+        if increment.n_present == 0 and dates is None and bronze.isEmpty():
+            raise ValueError("No data found in bronze")
         path = self.path("silver")
-        if increment.empty:
+        if increment.n_hours == 0:
             log.info("silver: no new hours to process")
             return path
         rows = increment.restrict(layer, ["sim_run_id", "farm_id", "date", "hour_key"])
@@ -141,7 +141,7 @@ class Lake:
         silver = self.silver(dates)
         ensure_checkpoint_dir(self.spark, self.path("_state/checkpoints"))
         increment = open_increment(silver, self.ledger.closed(dataset, dates))
-        if increment.empty:
+        if increment.n_hours == 0:
             log.info("%s: no new hours to process", dataset)
             return path
         days = increment.restrict(silver, schemas.GOLD_PARTITIONS)

@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         shuffle_partitions=8,
         extra={
             "spark.ui.enabled": "false",
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.driver.memory": "8g",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),

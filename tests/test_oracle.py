@@ -10,7 +10,7 @@ import pytest
 
 import __spark_entry__ as driver
 
-SCALES = [d for d in ("/root/testdata/sf0.001", "/root/testdata/sf0.01") if Path(d).is_dir()]
+SF_DIR = "/root/testdata/sf0.01"
 
 
 def _canonical(frame: pd.DataFrame) -> list[tuple]:
@@ -28,12 +28,12 @@ def _kind(dtype) -> str:
     return "datetime" if str(dtype).startswith("datetime") else str(dtype)
 
 
-@pytest.fixture(scope="module", params=SCALES)
-def scale(request):
+@pytest.fixture(scope="module")
+def connection():
     connection = duckdb.connect()
-    for path in Path(request.param).glob("*.parquet"):
+    for path in Path(SF_DIR).glob("*.parquet"):
         connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
-    yield request.param, connection
+    yield connection
     connection.close()
 
 
@@ -42,9 +42,8 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", driver.queries())
-def test_query_matches_sql(spark, scale, name):
-    sf_dir, connection = scale
-    ours = driver.queries()[name](spark, sf_dir).toPandas()
+def test_query_matches_sql(spark, connection, name):
+    ours = driver.queries()[name](spark, SF_DIR).toPandas()
     theirs = connection.execute(driver.oracle_sql()[name]).df()
     assert sorted(ours.columns) == sorted(theirs.columns)
     assert len(ours) > 0
