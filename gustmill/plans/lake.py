@@ -12,7 +12,7 @@ from gustmill.functions.quality import RANGES
 from gustmill.operators.dedup import DEDUP_KEYS
 from gustmill.operators.rollups import check_step, farm_kpis, hourly_energy
 from gustmill.operators.runs import missing_runs, runs_present
-from gustmill.operators.telemetry import clean_telemetry, to_bronze, unaddressable
+from gustmill.operators.telemetry import clean_telemetry, to_bronze
 from gustmill.plans.increment import open_increment
 from gustmill.session import ensure_checkpoint_dir, require_utc
 from gustmill.sources import files
@@ -61,8 +61,8 @@ class Lake:
         return self._read("gold/farm_kpis", schemas.FARM_KPIS, dates)
 
     def quarantine(self) -> DataFrame:
-        """Bronze rows without run, farm or event time; they lie in Hive's null partitions."""
-        return self.bronze().filter(unaddressable())
+        """Bronze rows without run, farm or event time: those in Hive's null partitions."""
+        return self.bronze().filter("sim_run_id IS NULL OR farm_id IS NULL OR hour IS NULL")
 
     # Jobs
 

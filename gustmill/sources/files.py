@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -14,12 +15,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(hadoop)
 
 
-def _matches(spark: SparkSession, pattern: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(system.globStatus(hadoop))
-
-
 def read_partitioned(
     spark: SparkSession,
     path: str,
@@ -34,10 +29,15 @@ def read_partitioned(
     """
     source = path
     if dates is not None:
-        source = "/".join([path, *above_date, "date={%s}" % ",".join(dates)])
-        if not dates or not _matches(spark, source):
-            return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(source).select(*schema.names)
+        wanted = dates[0] if len(dates) == 1 else "{%s}" % ",".join(dates)
+        source = "/".join([path, *above_date, f"date={wanted}"])
+    try:
+        rows = spark.read.schema(schema).option("basePath", path).parquet(source)
+    except AnalysisException as error:
+        if dates is None or error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    return rows.select(*schema.names)
 
 
 def _rebalanced(df: DataFrame, partitions: Sequence[str], within: Sequence[str]) -> DataFrame:
