@@ -17,7 +17,7 @@ from gustmill.functions.quality import add_range_flags
 from gustmill.operators.dedup import THREE_COLUMN_KEYS, flag_duplicates, keep_first
 from gustmill.operators.increments import (
     commit_keys,
-    hours_present,
+    hours_of,
     pending_hours,
     without_closed,
 )
@@ -53,13 +53,9 @@ def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_bronze(_telemetry(spark, sf_dir))
 
 
-def _hours(bronze: DataFrame) -> DataFrame:
-    return hours_present(bronze_keys(bronze))
-
-
 def _closed(bronze: DataFrame) -> DataFrame:
     """A ledger that has closed every hour before the cutoff."""
-    return _hours(bronze).filter(F.col("hour_key") < CUTOFF)
+    return hours_of(bronze).filter(F.col("hour_key") < CUTOFF)
 
 
 def _turbines(telemetry: DataFrame) -> DataFrame:
@@ -129,13 +125,13 @@ def _farm_kpis(spark, sf_dir):
 
 def _pending_hours(spark, sf_dir):
     bronze = _bronze(spark, sf_dir)
-    return _out(pending_hours(_hours(bronze), _closed(bronze)))
+    return _out(pending_hours(hours_of(bronze), _closed(bronze)))
 
 
 def _commit_keys(spark, sf_dir):
     bronze = _bronze(spark, sf_dir)
     closed = _closed(bronze)
-    return _out(commit_keys(closed, pending_hours(_hours(bronze), closed)))
+    return _out(commit_keys(closed, pending_hours(hours_of(bronze), closed)))
 
 
 def _open_silver(spark, sf_dir):

@@ -31,13 +31,19 @@ def out_of_range(column: str, lo: float, hi: float) -> str:
 def add_range_flags(
     df: DataFrame, ranges: Sequence[tuple[str, float, float]] = RANGES
 ) -> DataFrame:
-    """Add ``has_range_violation`` and ``range_violation_fields``; absent columns are skipped."""
-    names = [
-        f"CASE WHEN {out_of_range(name, lo, hi)} THEN '{name}' END"
-        for name, lo, hi in ranges
-        if name in df.columns
-    ]
-    listed = F.expr(f"concat_ws(',', {', '.join(names)})") if names else F.lit("")
-    return df.withColumn("range_violation_fields", listed).withColumn(
-        "has_range_violation", F.col("range_violation_fields") != ""
+    """Add ``has_range_violation`` and ``range_violation_fields``; absent columns are skipped.
+
+    The two do not build on each other, so a rollup that only counts bad rows builds no lists.
+    """
+    bad = {name: out_of_range(name, lo, hi) for name, lo, hi in ranges if name in df.columns}
+    if not bad:
+        return df.withColumns(
+            {"has_range_violation": F.lit(False), "range_violation_fields": F.lit("")}
+        )
+    names = ", ".join(f"CASE WHEN {test} THEN '{name}' END" for name, test in bad.items())
+    return df.withColumns(
+        {
+            "has_range_violation": F.expr(" OR ".join(bad.values())),
+            "range_violation_fields": F.expr(f"concat_ws(',', {names})"),
+        }
     )

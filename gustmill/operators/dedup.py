@@ -10,8 +10,9 @@ from pyspark.sql.window import Window, WindowSpec
 
 from gustmill.schemas import TELEMETRY
 
-DEDUP_KEYS = ("sim_run_id", "farm_id", "turbine_id", "event_time")
-THREE_COLUMN_KEYS = ("farm_id", "turbine_id", "event_time")
+# The time leads: sorting then mostly compares one number, seldom strings.
+DEDUP_KEYS = ("event_time", "turbine_id", "farm_id", "sim_run_id")
+THREE_COLUMN_KEYS = ("event_time", "turbine_id", "farm_id")
 
 
 def _arrival(df: DataFrame, groups: Sequence, keys: Sequence[str]) -> WindowSpec:

@@ -5,17 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gustmill.functions.timekeys import floor_hour
+from gustmill.functions.timekeys import date_key, floor_hour, hour_key
 
 HOUR = ("sim_run_id", "farm_id", "hour_key")
 
 
 def hours_present(layer: DataFrame) -> DataFrame:
-    """Distinct hours of a layer. On a stored layer only partition columns are touched."""
+    """Distinct hours of a stored layer, from its partition columns alone."""
     keys = ["sim_run_id", "farm_id", "date", "hour_key"]
     return layer.select(*keys).dropna().distinct()
 
 
+def hours_of(telemetry: DataFrame) -> DataFrame:
+    """Distinct hours of telemetry rows; the keys are formatted once per hour, not per row."""
+    hour = floor_hour(F.col("event_time")).alias("_hour")
+    hours = telemetry.select("sim_run_id", "farm_id", hour).dropna().distinct()
+    keys = {"date": date_key(F.col("_hour")), "hour_key": hour_key(F.col("_hour"))}
+    return hours.withColumns(keys).drop("_hour")
+
+
 def pending_hours(present: DataFrame, closed: DataFrame) -> DataFrame:
     return present.join(closed.select(*HOUR), list(HOUR), "left_anti")
 

@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustmill.schemas import FARMS, SCENARIOS, TELEMETRY, conform
+from gustmill.schemas import FARMS, TELEMETRY, conform
+from gustmill.sources.parameters import SCENARIO_WAKE, FarmShape, scenario_table
 
-# Fixed values of the mapping: wake strength per run, and the shape of every farm.
+# Wake strength per run.
 RUN_STRENGTH = {"SIM-A": 0.12, "SIM-B": 0.25}
-DECAY_LENGTH_M = 900.0
-CROSSWIND_SIGMA_M = 250.0
-FARM_SHAPE = {"n_rows": 3, "n_cols": 4, "spacing_m": 600.0, "rated_power_kw": 2000.0}
 
 
 def _label(letter: str, number: Column) -> Column:
@@ -60,12 +58,12 @@ def telemetry_from_events(events: DataFrame) -> DataFrame:
 
 
 def farms_of(telemetry: DataFrame) -> DataFrame:
-    """Every farm the telemetry names, all of one shape."""
-    shape = {name: F.lit(value) for name, value in FARM_SHAPE.items()}
+    """Every farm the telemetry names, all of the default shape."""
+    shape = {name: F.lit(value) for name, value in FarmShape()._asdict().items()}
     return conform(telemetry.select("farm_id").dropna().distinct().withColumns(shape), FARMS)
 
 
 def wake_scenarios(spark: SparkSession) -> DataFrame:
     """Wake parameters of the two runs."""
-    rows = [(run, s, DECAY_LENGTH_M, CROSSWIND_SIGMA_M) for run, s in RUN_STRENGTH.items()]
-    return spark.createDataFrame(rows, SCENARIOS)
+    wakes = {run: SCENARIO_WAKE._replace(wake_strength=s) for run, s in RUN_STRENGTH.items()}
+    return scenario_table(spark, wakes)

@@ -21,7 +21,14 @@ from gustmill.operators.whatif import (
     what_if_telemetry,
     what_if_turbine_energy,
 )
-from gustmill.schemas import FARMS, SCENARIOS, TURBINES
+from gustmill.schemas import FARMS, TURBINES
+from gustmill.sources.parameters import (
+    SCENARIO_WAKE,
+    FarmShape,
+    WakeParameters,
+    farm_table,
+    scenario_table,
+)
 
 
 def farm(spark, *specs):
@@ -29,8 +36,8 @@ def farm(spark, *specs):
 
 
 def scenarios(spark, **strengths):
-    rows = [(run.replace("_", "-"), s, 900.0, 250.0) for run, s in strengths.items()]
-    return spark.createDataFrame(rows, SCENARIOS)
+    wakes = {run.replace("_", "-"): SCENARIO_WAKE._replace(wake_strength=s) for run, s in strengths.items()}
+    return scenario_table(spark, wakes)
 
 
 def plain_wake(free, direction, own, places, strength, decay, sigma):
@@ -234,3 +241,10 @@ def test_missing_runs(spark):
 def test_turbine_contract(spark):
     found = farm(spark, ("F001", 1, 1, 1.0, 1.0)).schema
     assert found.simpleString() == TURBINES.simpleString()
+
+
+def test_parameter_tables(spark):
+    turbines = turbine_layout(farm_table(spark, {"F001": FarmShape(), "F002": FarmShape(n_rows=1)}))
+    assert turbines.count() == 16
+    rows = dicts(scenario_table(spark, {"W": WakeParameters(), "S": SCENARIO_WAKE}))
+    assert [tuple(r.values()) for r in rows] == [("W", 0.15, 800.0, 200.0), ("S", 0.18, 900.0, 250.0)]
