@@ -25,7 +25,8 @@ def measure(value: Column) -> Column:
 
 def out_of_range(column: str, lo: float, hi: float) -> str:
     """SQL for: the reading is missing, NaN or outside ``[lo, hi]``. Never NULL."""
-    return f"({column} IS NULL OR isnan({column}) OR {column} < {lo}D OR {column} > {hi}D)"
+    c, low, high = f"`{column}`", f"double('{float(lo)}')", f"double('{float(hi)}')"
+    return f"({c} IS NULL OR isnan({c}) OR {c} < {low} OR {c} > {high})"
 
 
 def add_range_flags(

@@ -93,15 +93,14 @@ FARM_KPIS = _schema(
     ("process_key", _S),
 )
 
-# A row opens or closes one hour of one dataset; the latest row for a key counts.
-LEDGER_PARTITIONS = ("dataset", "date")
+# A row closes or reopens one hour; the latest row for a key counts. One folder per dataset.
+LEDGER_PARTITIONS = ("date",)
 LEDGER = _schema(
     ("sim_run_id", _S),
     ("farm_id", _S),
     ("hour_key", _S),
     ("closed", _B),
     ("recorded_at", _TS),
-    ("dataset", _S),
     ("date", _S),
 )
 
@@ -131,5 +130,5 @@ SCENARIOS = _schema(
 
 def conform(df: DataFrame, schema: T.StructType, also: Sequence[str] = ()) -> DataFrame:
     """Project ``df`` to the columns and types of ``schema``, then the columns ``also``."""
-    casts = [f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema]
+    casts = [f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema]
     return df.selectExpr(*casts, *also)

@@ -14,22 +14,26 @@ from gustmill.sources import files
 
 
 class Ledger:
-    """A key counts as its latest row says, so no stored row is ever rewritten."""
+    """A key counts as its latest row says, so no stored row is ever rewritten.
+
+    Each dataset is a folder of its own, so jobs on different datasets can run side by side.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
 
+    def _folder(self, dataset: str) -> str:
+        return f"{self.path}/dataset={dataset}"
+
     def closed(self, dataset: str, dates: Sequence[str] | None = None) -> DataFrame:
         """Closed hours of ``dataset``; empty if nothing was ever recorded."""
-        if files.path_exists(self.spark, self.path):
-            above = [f"dataset={dataset}"]
-            rows = files.read_partitioned(self.spark, self.path, LEDGER, above, dates)
+        if files.path_exists(self.spark, self._folder(dataset)):
+            rows = files.read_partitioned(self.spark, self._folder(dataset), LEDGER, [], dates)
         else:
             rows = self.spark.createDataFrame([], LEDGER)
         return (
-            rows.filter(F.col("dataset") == dataset)
-            .groupBy(*HOUR)
+            rows.groupBy(*HOUR)
             .agg(F.max_by("closed", "recorded_at").alias("closed"))
             .filter("closed")
             .select(*HOUR)
@@ -52,8 +56,7 @@ class Ledger:
             {
                 "closed": F.lit(closed),
                 "recorded_at": F.current_timestamp(),
-                "dataset": F.lit(dataset),
                 "date": F.substring("hour_key", 1, 10),
             }
         )
-        files.append(conform(entries, LEDGER), self.path, LEDGER_PARTITIONS)
+        files.append(conform(entries, LEDGER), self._folder(dataset), LEDGER_PARTITIONS)

@@ -37,6 +37,12 @@ def test_range_flags(spark):
             assert row["has_range_violation"] is (expected != "")
 
 
+def test_ranges_are_parameters(spark):
+    rows = telemetry(spark, {"power_kw": 99999.0, "yaw_deg": 0.5})
+    ranges = (("yaw_deg", 1.0, 2.0), ("power_kw", 0.0, float("inf")))
+    assert add_range_flags(rows, ranges).first().range_violation_fields == "yaw_deg"
+
+
 def test_absent_column_is_skipped(spark):
     rows = telemetry(spark, {"power_kw": 99999.0, "yaw_deg": 400.0})
     flagged = add_range_flags(rows.drop("power_kw")).first()
