@@ -53,15 +53,19 @@ def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_bronze(_telemetry(spark, sf_dir))
 
 
-def _closed(bronze: DataFrame) -> DataFrame:
+def _once(df: DataFrame) -> DataFrame:
+    """``df`` computed here and now, for tables that a query reads more than once."""
+    ensure_checkpoint_dir(df.sparkSession, tempfile.gettempdir())
+    return df.checkpoint()
+
+
+def _closed(hours: DataFrame) -> DataFrame:
     """A ledger that has closed every hour before the cutoff."""
-    return hours_of(bronze).filter(F.col("hour_key") < CUTOFF)
+    return hours.filter(F.col("hour_key") < CUTOFF)
 
 
 def _turbines(telemetry: DataFrame) -> DataFrame:
-    """The turbine table, computed once: the operators measure it before they join it."""
-    ensure_checkpoint_dir(telemetry.sparkSession, tempfile.gettempdir())
-    return turbine_layout(farms_of(telemetry)).checkpoint()
+    return _once(turbine_layout(farms_of(telemetry)))
 
 
 def _out(df: DataFrame) -> DataFrame:
@@ -124,19 +128,19 @@ def _farm_kpis(spark, sf_dir):
 
 
 def _pending_hours(spark, sf_dir):
-    bronze = _bronze(spark, sf_dir)
-    return _out(pending_hours(hours_of(bronze), _closed(bronze)))
+    hours = _once(hours_of(_bronze(spark, sf_dir)))
+    return _out(pending_hours(hours, _closed(hours)))
 
 
 def _commit_keys(spark, sf_dir):
-    bronze = _bronze(spark, sf_dir)
-    closed = _closed(bronze)
-    return _out(commit_keys(closed, pending_hours(hours_of(bronze), closed)))
+    hours = _once(hours_of(_bronze(spark, sf_dir)))
+    closed = _closed(hours)
+    return _out(commit_keys(closed, pending_hours(hours, closed)))
 
 
 def _open_silver(spark, sf_dir):
     bronze = _bronze(spark, sf_dir)
-    return clean_telemetry(without_closed(bronze, _closed(bronze)))
+    return clean_telemetry(without_closed(bronze, _closed(hours_of(bronze))))
 
 
 def _hourly_energy_incremental(spark, sf_dir):

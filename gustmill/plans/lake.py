@@ -151,7 +151,9 @@ class Lake:
 
     # Checks
 
-    def assert_runs_present(self, layer: str, expected: Sequence[str]) -> None:
+    def assert_runs_present(
+        self, layer: str, expected: Sequence[str], dates: Sequence[str] | None = None
+    ) -> None:
         """Raise ``RuntimeError`` if an expected run has no row in bronze, silver or a gold table."""
         schema = {
             "bronze": schemas.BRONZE,
@@ -159,7 +161,7 @@ class Lake:
             "gold/hourly_energy": schemas.HOURLY_ENERGY,
             "gold/farm_kpis": schemas.FARM_KPIS,
         }[layer]
-        table = self._read(layer, schema, None)
+        table = self._read(layer, schema, dates)
         missing = sorted(row["sim_run_id"] for row in missing_runs(table, expected).collect())
         if missing:
             found = [r["sim_run_id"] for r in runs_present(table).limit(MAX_LISTED_RUNS).collect()]
