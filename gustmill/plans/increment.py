@@ -43,14 +43,19 @@ class Increment:
         return rows.join(wanted, list(keys), "left_semi")
 
 
-def open_increment(layer: DataFrame, closed: DataFrame) -> Increment:
-    """Hours ``layer`` has and ``closed`` lacks.
+def open_increment(
+    layer: DataFrame, closed: DataFrame, ready: DataFrame | None = None
+) -> Increment:
+    """Hours ``layer`` has and ``closed`` lacks; with ``ready``, only those among them.
 
     Checkpointed, so the filter, the join and the ledger entries of one run name the same hours
     whatever executors are lost or files arrive meanwhile.
     """
     marks = closed.select(*HOUR).withColumn("_closed", F.lit(True))
-    hours = hours_present(layer).join(marks, list(HOUR), "left").checkpoint()
+    present = hours_present(layer)
+    if ready is not None:
+        present = present.join(ready.select(*HOUR), list(HOUR), "left_semi")
+    hours = present.join(marks, list(HOUR), "left").checkpoint()
     is_open = F.col("_closed").isNull()
     counts = hours.agg(F.count_if(is_open).alias("open"), F.count(F.lit(1)).alias("all")).first()
     return Increment(hours.filter(is_open).drop("_closed"), counts["open"], counts["all"])

@@ -140,7 +140,10 @@ class Lake:
         path = self.path(f"gold/{dataset}")
         silver = self.silver(dates)
         ensure_checkpoint_dir(self.spark, self.path("_state/checkpoints"))
-        increment = open_increment(silver, self.ledger.closed(dataset, dates))
+        # An hour silver wrote but did not close will be written again. Silver that came without a
+        # ledger is taken as it is.
+        ready = self.ledger.closed("silver", dates) if self.ledger.has("silver") else None
+        increment = open_increment(silver, self.ledger.closed(dataset, dates), ready)
         if increment.n_hours == 0:
             log.info("%s: no new hours to process", dataset)
             return path

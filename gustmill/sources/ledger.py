@@ -26,9 +26,12 @@ class Ledger:
     def _folder(self, dataset: str) -> str:
         return f"{self.path}/dataset={dataset}"
 
+    def has(self, dataset: str) -> bool:
+        return files.path_exists(self.spark, self._folder(dataset))
+
     def closed(self, dataset: str, dates: Sequence[str] | None = None) -> DataFrame:
         """Closed hours of ``dataset``; empty if nothing was ever recorded."""
-        if files.path_exists(self.spark, self._folder(dataset)):
+        if self.has(dataset):
             rows = files.read_partitioned(self.spark, self._folder(dataset), LEDGER, [], dates)
         else:
             rows = self.spark.createDataFrame([], LEDGER)

@@ -74,6 +74,31 @@ def test_failure_between_data_and_ledger_is_repaired(spark, lake, monkeypatch, d
     assert hours(lake) == ["00", "01", "02"]
 
 
+def test_gold_waits_until_silver_has_closed_the_hour(spark, lake, monkeypatch):
+    lake.write_bronze(hours_of(spark, 0, 0))
+    run_all(lake)
+    lake.write_bronze(hours_of(spark, 1, 1))
+    with monkeypatch.context() as patch:
+        patch.setattr(lake.ledger, "close", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            lake.run_silver()
+    lake.run_farm_kpis(DT)
+    assert hours(lake) == ["00"]
+    lake.write_bronze(telemetry(spark, {"event_time": at(1, 45)}))
+    run_all(lake)
+    assert [r.total_rows for r in lake.farm_kpis().orderBy("hour").collect()] == [4, 5]
+
+
+def test_silver_without_a_ledger_is_taken_whole(spark, lake):
+    clean = clean_telemetry(to_bronze(hours_of(spark, 0, 1)))
+    keyed = clean.withColumns(
+        {"date": F.lit("2026-01-05"), "hour_key": F.date_format("event_time", "yyyy-MM-dd'T'HH:00:00'Z'")}
+    )
+    keyed.write.partitionBy("sim_run_id", "farm_id", "date", "hour_key").parquet(lake.path("silver"))
+    lake.run_farm_kpis(DT)
+    assert hours(lake) == ["00", "01"]
+
+
 def test_late_row_for_closed_hour_is_ignored(spark, lake):
     lake.write_bronze(hours_of(spark, 0, 0))
     run_all(lake)
