@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from frames import at, dicts, telemetry
 from gustmill.functions.quality import add_range_flags
@@ -167,4 +165,4 @@ def test_flags_of_empty_input(spark):
     empty = telemetry(spark, {}).limit(0)
     assert hourly_energy(clean_telemetry(to_bronze(empty)), 60).count() == 0
     assert flag_duplicates(empty).count() == 0
-    assert math.isclose(farm_kpis(add_range_flags(empty), 60).agg(F.count("*")).first()[0], 0)
+    assert farm_kpis(add_range_flags(empty), 60).count() == 0
