@@ -6,6 +6,7 @@ Every query reads telemetry derived from the ``events`` table. Timestamps leave
 
 from __future__ import annotations
 
+import importlib.util
 import tempfile
 from collections.abc import Callable
 
@@ -216,7 +217,33 @@ def entry(spark: SparkSession) -> DataFrame:
     return _hourly_energy(spark, SMOKE_DIR)
 
 
+def _has_llm() -> bool:
+    return all(map(importlib.util.find_spec, ("gustmill.llm", "corpus_pipeline")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = _telemetry_queries()
+    if _has_llm():
+        import corpus_pipeline
+        from gustmill.llm import queries as llm
+
+        found |= llm.queries() | {"pipeline": corpus_pipeline.run}
+    return found
+
+
+def oracle_sql() -> dict[str, str]:
+    found = _telemetry_sql()
+    if _has_llm():
+        import corpus_pipeline
+        from gustmill.llm import queries as llm
+
+        found |= llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def _telemetry_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "bronze_scan": _bronze_scan,
         "bronze_keys": _bronze_keys,
@@ -478,7 +505,7 @@ _TELEMETRY_COLUMNS = """event_time, farm_id, turbine_id, wind_speed_free_mps, wi
   wind_dir_deg, power_kw, rotor_speed_rpm, yaw_deg, status, sim_run_id, ingest_time, source"""
 
 
-def oracle_sql() -> dict[str, str]:
+def _telemetry_sql() -> dict[str, str]:
     selects = {
         "bronze_scan": (_TELEMETRY, f"SELECT {_TELEMETRY_COLUMNS} FROM telemetry"),
         "bronze_keys": (

@@ -37,11 +37,13 @@ def connection():
     connection.close()
 
 
-def test_every_query_has_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+def test_every_telemetry_query_has_sql():
+    without = driver.queries().keys() - driver.oracle_sql().keys()
+    assert all(name == "pipeline" or name.startswith("op") for name in without)
+    assert driver.oracle_sql().keys() <= driver.queries().keys()
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", driver.oracle_sql())
 def test_query_matches_sql(spark, connection, name):
     ours = driver.queries()[name](spark, SF_DIR).toPandas()
     theirs = connection.execute(driver.oracle_sql()[name]).df()
