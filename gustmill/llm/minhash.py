@@ -7,12 +7,14 @@ similarity, corrected for minima that agree by chance, and those clearly below t
 The rest is compared set by set. At similarity 0.8 a pair shares no band once in 20 million
 cases and is dropped by the estimate less often than that.
 
-Groups may be as large as they like. Equal sets are folded first, by an aggregate. Then rounds of
-linking: in each band every set is compared with one of the band's, its pivot; links join
-components, and the next pivot is one outside the band's main component. When a round joins
-nothing more, only sets outside their band's main component are left, and each of these is
-compared with all sets of its band that it is not yet joined with. No pair is left out unless
-the two are in one component already, and no step lists the pairs within a group.
+Groups may be as large as they like. Equal sets are folded first, by an aggregate. Each set is then
+compared with the most alike of the smallest ids of its bands; links join parts, and bands that are
+all of one part are done. In the others, the sets outside the band's largest part are compared with
+all sets around them: bands that share documents make a bucket, a bucket is dealt into blocks of
+bounded size, and pairs of blocks are compared exactly in tasks of their own, which return only
+links that join parts. So a pair is left out only if the two are joined already, and no step lists
+the pairs of a group. Buckets full of sets that are alike but not enough cost comparing them all:
+that work, though no output, grows with the square of the bucket.
 
 Empty or null texts have empty sets, linked with nothing. Rows without doc_id are linked with
 nothing. Rows that share a doc_id are one document, linked through any of their texts. Columns
@@ -24,13 +26,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gustmill.llm.components import min_labels
-from gustmill.llm.tables import maybe_broadcast, saved, text_of
+from gustmill.llm.tables import maybe_broadcast, measured_broadcast, saved, text_of
 
 MINIMA, BAND_ROWS, BITS = 128, 4, 2
 BANDS = MINIMA // BAND_ROWS
@@ -38,8 +41,8 @@ WORDS = 2  # words of a shingle, fixed by the contract
 THRESHOLD = (80, 100)  # similarity as a fraction
 #: An estimate has a standard error of 0.042 at 0.8; pairs 5.5 of these below are not confirmed.
 LEAST_ESTIMATE = 0.57
-#: Rounds of pivots before what is left is compared in full.
-ROUNDS = 4
+#: Bounds of a block of sets that a task holds.
+BLOCK_SETS, BLOCK_SHINGLES = 2048, 1 << 20
 
 _RNG = np.random.default_rng(7)
 _FACTORS = _RNG.integers(1, 1 << 63, MINIMA, dtype=np.uint64) | np.uint64(1)
@@ -137,20 +140,14 @@ def estimate(a: Column, b: Column) -> Column:
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of ``pairs (a, b)`` those whose full sets are similar enough."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"))
+    """Of ``pairs (a, b)`` (saved) those whose full sets are similar enough."""
+    few = measured_broadcast(pairs)
+    left = sets.join(few, sets.doc_id == few.a).select("a", "b", F.col("shingles").alias("of_a"))
+    right = sets.join(few, sets.doc_id == few.b).select("a", "b", F.col("shingles").alias("of_b"))
     shared = F.size(F.array_intersect("of_a", "of_b"))
     union = F.size("of_a") + F.size("of_b") - shared
     part, whole = THRESHOLD
-    return pairs.join(left, "a").join(right, "b").filter(whole * shared >= part * union).select("a", "b")
-
-
-def _components(vertices: DataFrame, links: DataFrame) -> DataFrame:
-    """``doc_id, component_id`` for every vertex."""
-    labels = min_labels(links)
-    joined = vertices.join(labels, vertices.doc_id == labels.vertex, "left")
-    return joined.select("doc_id", F.coalesce("label", "doc_id").alias("component_id"))
+    return left.join(right, ["a", "b"]).filter(whole * shared >= part * union).select("a", "b").distinct()
 
 
 def linked_components(df: DataFrame) -> DataFrame:
@@ -161,7 +158,7 @@ def linked_components(df: DataFrame) -> DataFrame:
     classes = named.groupBy("digest").agg(
         F.min_by(F.struct("doc_id", "bits", "bands", "n_shingles"), "doc_id").alias("first"), F.count("*").alias("n")
     )
-    classes = classes.select("digest", "first.*", "n")
+    classes = saved(classes.select("digest", "first.*", "n"))
     same = (
         named.select("doc_id", "digest")
         .join(classes.filter("n > 1").select("digest", F.col("doc_id").alias("a")), "digest")
@@ -169,17 +166,16 @@ def linked_components(df: DataFrame) -> DataFrame:
         .select("a", F.col("doc_id").alias("b"))
         .distinct()
     )
-    members = classes.select("doc_id", "bits", "n_shingles", F.explode("bands").alias("band"))
-    shared = members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    members = saved(members.join(shared, "band").select("band", "doc_id", "bits", "n_shingles"))
+    members = classes.select("doc_id", F.explode("bands").alias("band"))
+    shared = members.groupBy("band").agg(F.min("doc_id").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
+    members = saved(members.join(shared, "band").select("band", "doc_id", "pivot"))
     ids = saved(members.select("doc_id").distinct())
-    texts = df.select("doc_id", "text").join(maybe_broadcast(ids, 16), "doc_id", "left_semi")
+    signatures = saved(classes.join(maybe_broadcast(ids, 16), "doc_id", "left_semi").select("doc_id", "bits", "n_shingles"))
     # An id with several texts: any of its sets may confirm a link.
-    sets = saved(full_sets(texts).distinct())
+    texts = df.select("doc_id", "text").join(maybe_broadcast(ids, 16), "doc_id", "left_semi")
+    sets = saved(full_sets(texts))
 
-    links = _pivot_links(members, ids, sets)
-    every = same.unionByName(links)
-    labels = min_labels(every)
+    labels = _labels(members, signatures, sets, same)
     out = rows.join(labels, rows.doc_id == labels.vertex, "left")
     component = F.coalesce("label", "doc_id")
     return out.select(
@@ -190,54 +186,95 @@ def linked_components(df: DataFrame) -> DataFrame:
     )
 
 
-def _similar_enough(a: str, b: str) -> Column:
+def _alike(pairs: DataFrame, signatures: DataFrame, best: bool) -> DataFrame:
+    """Of ``pairs (a, b)`` those alike by estimate; with ``best`` only the most alike ``b`` of each ``a``."""
+    left = signatures.select(F.col("doc_id").alias("a"), F.col("bits").alias("of_a"), F.col("n_shingles").alias("n_a"))
+    right = signatures.select(F.col("doc_id").alias("b"), F.col("bits").alias("of_b"), F.col("n_shingles").alias("n_b"))
     part, whole = THRESHOLD
-    smaller, larger = F.least(f"{a}.n_shingles", f"{b}.n_shingles"), F.greatest(f"{a}.n_shingles", f"{b}.n_shingles")
-    sizes = whole * smaller >= part * larger  # the intersection is within the smaller set
-    return sizes & (estimate(F.col(f"{a}.bits"), F.col(f"{b}.bits")) >= LEAST_ESTIMATE)
-
-
-def _pivot_links(members: DataFrame, ids: DataFrame, sets: DataFrame) -> DataFrame:
-    links = None
-    state = members.select("band", "doc_id", "bits", "n_shingles", F.col("doc_id").alias("component_id"))
-    for _ in range(ROUNDS):
-        outside = _outside(state)
-        pivots = outside.groupBy("band").agg(
-            F.min_by(F.struct("doc_id", "bits", "n_shingles", "component_id"), "doc_id").alias("p")
-        )
-        pairs = (
-            state.alias("m")
-            .join(pivots.select("band", "p.*").alias("p"), "band")
-            .filter((F.col("m.component_id") != F.col("p.component_id")) & _similar_enough("m", "p"))
-            .select(F.least("m.doc_id", "p.doc_id").alias("a"), F.greatest("m.doc_id", "p.doc_id").alias("b"))
-            .distinct()
-        )
-        found = saved(_confirm(pairs, sets))
-        if found.isEmpty():
-            break
-        links = found if links is None else links.unionByName(found)
-        labels = _components(ids, links)
-        state = saved(members.join(labels, "doc_id").select("band", "doc_id", "bits", "n_shingles", "component_id"))
-    outside = _outside(state)
-    rest = (
-        outside.alias("m")
-        .join(state.alias("p"), "band")
-        .filter((F.col("m.component_id") != F.col("p.component_id")) & _similar_enough("m", "p"))
-        .select(F.least("m.doc_id", "p.doc_id").alias("a"), F.greatest("m.doc_id", "p.doc_id").alias("b"))
-        .distinct()
-    )
-    rest = saved(_confirm(rest, sets))
-    return rest if links is None else links.unionByName(rest)
+    # The intersection lies within the smaller set.
+    sizes = whole * F.least("n_a", "n_b") >= part * F.greatest("n_a", "n_b")
+    rated = pairs.join(left, "a").join(right, "b").filter(sizes).withColumn("rate", estimate(F.col("of_a"), F.col("of_b")))
+    rated = rated.filter(F.col("rate") >= LEAST_ESTIMATE)
+    if best:
+        rated = rated.groupBy("a").agg(F.max_by("b", F.struct("rate", "b")).alias("b"))
+    return rated.select("a", "b").distinct()
+
+
+def _labels(members: DataFrame, signatures: DataFrame, sets: DataFrame, same: DataFrame) -> DataFrame:
+    """``vertex, label`` of all linked documents: the most alike pivots, then all that is left."""
+    pairs = members.filter("doc_id != pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct()
+    links = saved(_confirm(saved(_alike(pairs, signatures, best=True)), sets)).unionByName(same)
+    labels = saved(min_labels(links))
+    placed = members.join(labels, members.doc_id == labels.vertex, "left")
+    placed = placed.select("band", "doc_id", F.coalesce("label", "doc_id").alias("part"))
+    # Bands that are all of one part are done.
+    bands = placed.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.min("doc_id").alias("first"))
+    state = saved(placed.join(bands.filter("low != high").select("band", "first"), "band"))
+    found = _block_links(state, sets)
+    return min_labels(links.unionByName(found))
 
 
 def _outside(state: DataFrame) -> DataFrame:
-    """Members that are not in the largest component of their band."""
-    parts = state.groupBy("band", "component_id").agg(F.count("*").alias("n"))
-    main = parts.groupBy("band").agg(
-        F.max_by("component_id", F.struct("n", -F.col("component_id"))).alias("main"), F.count("*").alias("parts")
+    """Documents that are not in the largest part of one of their bands."""
+    parts = state.groupBy("band", "part").agg(F.count("*").alias("n"))
+    main = parts.groupBy("band").agg(F.max_by("part", F.struct("n", -F.col("part"))).alias("main"))
+    return state.join(main, "band").filter("part != main").select("doc_id").distinct()
+
+
+def _block_links(state: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between parts, from comparing the documents outside with all that they share bands with.
+
+    Bands that share documents make up a bucket. Its documents are dealt into blocks of bounded
+    size, and each block of documents outside meets each block of the bucket in a task of its own.
+    """
+    nearby = min_labels(state.select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
+    docs = state.select("doc_id", "part").distinct()
+    docs = docs.join(nearby, docs.doc_id == nearby.vertex).select("doc_id", "part", F.col("label").alias("bucket"))
+    docs = docs.join(_outside(state).withColumn("out", F.lit(True)), "doc_id", "left")
+    docs = saved(docs.join(sets, "doc_id").withColumn("size", F.size("shingles")))
+    blocks = docs.groupBy("bucket").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks")
     )
-    mixed = main.filter("parts > 1")
-    return state.join(mixed, "band").filter("component_id != main").select(*state.columns)
+    docs = docs.join(blocks, "bucket").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    columns = ["bucket", "one", "two", "doc_id", "part", "shingles"]
+    left = docs.filter("out").withColumn("one", F.col("own")).withColumn("two", every).select(*columns)
+    right = docs.withColumn("two", F.col("own")).withColumn("one", every)
+    right = right.select(*[F.col(c).alias(f"{c}_2") for c in columns])  # names that don't clash
+    met = left.groupBy("bucket", "one", "two").cogroup(right.groupBy("bucket_2", "one_2", "two_2"))
+    met = met.applyInPandas(_compare, "a bigint, b bigint")
+    return saved(met)
+
+
+def _compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """Links between sets of two blocks, none between parts that those before it have joined."""
+    parent: dict[int, int] = {}
+
+    def root(part: int) -> int:
+        while parent.get(part, part) != part:
+            parent[part] = part = parent.get(parent[part], parent[part])
+        return part
+
+    out: list[tuple[int, int]] = []
+    if len(left) and len(right):
+        sizes = np.array([len(s) for s in right["shingles_2"]])
+        flat = np.concatenate(right["shingles_2"].to_numpy())
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], np.repeat(np.arange(len(right)), sizes)[order]
+        ids, parts = right["doc_id_2"].tolist(), right["part_2"].tolist()
+        part, whole = THRESHOLD
+        for doc, own, shingles in zip(left["doc_id"], left["part"], left["shingles"], strict=True):
+            low, high = np.searchsorted(flat, shingles, "left"), np.searchsorted(flat, shingles, "right")
+            widths = high - low
+            places = np.repeat(low - np.concatenate(([0], np.cumsum(widths)[:-1])), widths) + np.arange(widths.sum())
+            shared = np.bincount(owner[places], minlength=len(right))
+            alike = whole * shared >= part * (len(shingles) + sizes - shared)
+            for k in np.flatnonzero(alike).tolist():
+                one, two = root(int(own)), root(parts[k])
+                if one != two:
+                    parent[max(one, two)] = min(one, two)
+                    out.append((int(doc), ids[k]))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
 def keep_one(df: DataFrame) -> DataFrame:
