@@ -7,7 +7,6 @@ Every query reads telemetry derived from the ``events`` table. Timestamps leave
 from __future__ import annotations
 
 import importlib.util
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,7 +55,8 @@ def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _once(df: DataFrame) -> DataFrame:
     """``df`` computed here and now, for tables that a query reads more than once."""
-    ensure_checkpoint_dir(df.sparkSession, tempfile.gettempdir())
+    warehouse = df.sparkSession.conf.get("spark.sql.warehouse.dir")  # shared, as checkpoints must be
+    ensure_checkpoint_dir(df.sparkSession, f"{warehouse}/_checkpoints")
     return df.checkpoint()
 
 

@@ -80,7 +80,11 @@ def _with_wind(rows: DataFrame) -> DataFrame:
 
 
 def _blocks(turbines: DataFrame, n_blocks: int) -> DataFrame:
-    """Each farm's coordinates as two lists in id order, in ``n_blocks`` rows per farm."""
+    """Each farm's coordinates as two lists in id order, in ``n_blocks`` rows per farm.
+
+    A turbine without coordinates shelters nobody; its own rows have no factor.
+    """
+    turbines = turbines.dropna(subset=["x_m", "y_m"])
     block = F.pmod(F.xxhash64("turbine_id"), F.lit(n_blocks))
     members = F.sort_array(F.collect_list(F.struct("turbine_id", "x_m", "y_m")))
     return (

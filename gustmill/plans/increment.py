@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gustmill.operators.increments import HOUR, hours_present
 
-# Above these bounds a filter or a broadcast gives way to a shuffled join.
+# Above these bounds a list of literals gives way to a range, a broadcast to a shuffled join.
 MAX_LITERALS = 5000
 MAX_BROADCAST_ROWS = 200_000
 
@@ -27,14 +27,18 @@ class Increment:
         """Rows of ``layer`` whose ``keys``, all partition columns, belong to an open hour.
 
         An anti-join against the ledger prunes no folder, and neither does a semi-join against its
-        result. So the open dates and runs, few by nature, go in as literals first.
+        result. So the open dates and runs go in as literals first, each by a list of its own or,
+        if that would be too long, by its range.
         """
-        names = ["date", "sim_run_id"]
-        pairs = self.hours.select(*names).distinct().limit(MAX_LITERALS + 1).collect()
         rows = layer
-        if len(pairs) <= MAX_LITERALS:
-            for name in names:
-                rows = rows.filter(F.col(name).isin(sorted({pair[name] for pair in pairs})))
+        for name in ("date", "sim_run_id"):
+            values = self.hours.select(name).distinct()
+            listed = sorted(r[0] for r in values.limit(MAX_LITERALS + 1).collect())
+            if len(listed) <= MAX_LITERALS:
+                rows = rows.filter(F.col(name).isin(listed))
+            else:
+                low, high = values.agg(F.min(name), F.max(name)).first()
+                rows = rows.filter(F.col(name).between(low, high))
         if self.n_hours == self.n_present:
             return rows.dropna(subset=list(keys))
         wanted = self.hours.select(*keys).distinct()

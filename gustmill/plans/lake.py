@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gustmill import schemas
 from gustmill.functions.quality import RANGES
+from gustmill.operators.increments import HOUR
 from gustmill.operators.dedup import DEDUP_KEYS
 from gustmill.operators.rollups import check_step, farm_kpis, hourly_energy
 from gustmill.operators.runs import missing_runs, runs_present
@@ -22,7 +23,6 @@ log = logging.getLogger("gustmill")
 
 REQUIRED = ("event_time", "farm_id", "sim_run_id", "ingest_time")
 RUN_AND_FARM = ("sim_run_id=*", "farm_id=*")
-MAX_LISTED_RUNS = 1000
 
 
 class Lake:
@@ -102,12 +102,28 @@ class Lake:
             return path
         rows = increment.restrict(layer, ["sim_run_id", "farm_id", "date", "hour_key"])
         clean = clean_telemetry(rows, keys, ranges, also=["date", "hour_key"])
+        emptied = self._emptied(clean, increment.hours) if files.path_exists(self.spark, path) else []
         files.replace_partitions(
             clean, path, schemas.SILVER_PARTITIONS, ["turbine_id", "event_time"]
         )
+        files.remove_partitions(self.spark, path, emptied)
         self.ledger.close("silver", increment.hours)
         return path
 
+    def _emptied(self, clean: DataFrame, hours: DataFrame) -> list[str]:
+        """Silver folders of open hours that are written already and now get no row.
+
+        Only hours that run again, after ``reopen`` or a failure, are looked at.
+        """
+        names = list(schemas.SILVER_PARTITIONS)
+        stored = self.silver([r[0] for r in hours.select("date").distinct().collect()])
+        again = stored.select(*names).distinct().join(hours.select(*names), names, "left_semi").checkpoint()
+        if again.isEmpty():
+            return []
+        filled = clean.join(again, names, "left_semi").select(*names).distinct()
+        gone = again.join(filled, names, "left_anti").collect()
+        return ["/".join(f"{name}={files.folder_name(row[name])}" for name in names) for row in gone]
+
     def run_hourly_energy(self, dt_seconds: float, dates: Sequence[str] | None = None) -> str:
         check_step(dt_seconds)
         return self._run_gold(
@@ -148,6 +164,10 @@ class Lake:
             log.info("%s: no new hours to process", dataset)
             return path
         days = increment.restrict(silver, schemas.GOLD_PARTITIONS)
+        if ready is not None:
+            # Of an open day only hours that silver has closed, now or before this table took them.
+            whole = ready.unionByName(self.ledger.closed(dataset, dates)).distinct()
+            days = days.join(whole, list(HOUR), "left_semi")
         files.replace_partitions(rollup(days), path, schemas.GOLD_PARTITIONS, ["hour"])
         self.ledger.close(dataset, increment.hours)
         return path
@@ -167,7 +187,7 @@ class Lake:
         table = self._read(layer, schema, dates)
         missing = sorted(row["sim_run_id"] for row in missing_runs(table, expected).collect())
         if missing:
-            found = [r["sim_run_id"] for r in runs_present(table).limit(MAX_LISTED_RUNS).collect()]
+            found = [r["sim_run_id"] for r in runs_present(table).collect()]
             raise RuntimeError(f"Missing sim_run_id(s) in {layer}: {missing}. Found: {found}")
 
     def reopen(self, dataset: str, hours: DataFrame) -> None:

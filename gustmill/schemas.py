@@ -100,6 +100,7 @@ LEDGER = _schema(
     ("farm_id", _S),
     ("hour_key", _S),
     ("closed", _B),
+    ("sequence", T.LongType()),
     ("recorded_at", _TS),
     ("date", _S),
 )

@@ -61,3 +61,16 @@ def replace_partitions(
         .partitionBy(*partitions)
         .parquet(path)
     )
+
+
+def folder_name(value: str) -> str:
+    """A partition value as Spark writes it in a folder's name."""
+    unsafe = set('"#%\'*/:=?\\\x7f{[]^')
+    return "".join(f"%{ord(c):02X}" if c in unsafe or ord(c) < 32 else c for c in value)
+
+
+def remove_partitions(spark: SparkSession, path: str, folders: Sequence[str]) -> None:
+    """Delete partition folders, named relative to ``path``."""
+    for folder in folders:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

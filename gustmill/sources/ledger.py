@@ -13,6 +13,11 @@ from gustmill.schemas import LEDGER, LEDGER_PARTITIONS, conform
 from gustmill.sources import files
 
 
+def _order():
+    """Later entries have larger sequence numbers, whatever the clocks say; old files have none."""
+    return F.struct(F.coalesce("sequence", F.lit(0)), "recorded_at")
+
+
 class Ledger:
     """A key counts as its latest row says, so no stored row is ever rewritten.
 
@@ -37,7 +42,7 @@ class Ledger:
             rows = self.spark.createDataFrame([], LEDGER)
         return (
             rows.groupBy(*HOUR)
-            .agg(F.max_by("closed", "recorded_at").alias("closed"))
+            .agg(F.max_by("closed", _order()).alias("closed"))
             .filter("closed")
             .select(*HOUR)
         )
@@ -55,9 +60,14 @@ class Ledger:
         self._record(dataset, hours, False)
 
     def _record(self, dataset: str, hours: DataFrame, closed: bool) -> None:
+        last = 0
+        if self.has(dataset):
+            rows = files.read_partitioned(self.spark, self._folder(dataset), LEDGER, [])
+            last = rows.agg(F.max("sequence")).first()[0] or 0
         entries = hours.select(*HOUR).distinct().withColumns(
             {
                 "closed": F.lit(closed),
+                "sequence": F.lit(last + 1).cast("long"),
                 "recorded_at": F.current_timestamp(),
                 "date": F.substring("hour_key", 1, 10),
             }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from frames import at, dicts, hours_of, telemetry
 from gustmill import Lake
+from gustmill.operators.dedup import THREE_COLUMN_KEYS
 from gustmill.operators.rollups import farm_kpis, hourly_energy
 from gustmill.operators.telemetry import clean_telemetry, to_bronze
 
@@ -89,6 +90,47 @@ def test_gold_waits_until_silver_has_closed_the_hour(spark, lake, monkeypatch):
     assert [r.total_rows for r in lake.farm_kpis().orderBy("hour").collect()] == [4, 5]
 
 
+def test_gold_leaves_out_hours_of_an_open_day_that_silver_has_not_closed(spark, lake):
+    lake.write_bronze(hours_of(spark, 0, 1))
+    lake.run_silver()
+    second = lake.ledger.closed("silver").filter("hour_key LIKE '%T01:%'")
+    lake.reopen("silver", second)
+    lake.run_farm_kpis(DT)
+    assert hours(lake) == ["00"]
+    lake.run_silver()
+    lake.run_farm_kpis(DT)
+    assert hours(lake) == ["00", "01"]
+
+
+def test_hour_that_loses_all_rows_leaves_silver(spark, lake):
+    pair = telemetry(spark, {"sim_run_id": "SIM-A"}, {"sim_run_id": "SIM-B"})
+    lake.write_bronze(pair)
+    lake.run_silver()
+    assert lake.silver().count() == 2
+    lake.reopen("silver", lake.ledger.closed("silver"))
+    lake.run_silver(keys=THREE_COLUMN_KEYS)
+    assert lake.silver().count() == 1
+
+
+def test_ledger_follows_sequence_not_clock(spark, lake):
+    lake.write_bronze(hours_of(spark, 0, 0))
+    lake.run_silver()
+    closed = lake.ledger.closed("silver")
+    ledger = lake.ledger
+    n = closed.count()
+    path = ledger._folder("silver")
+    early = closed.withColumns(
+        {
+            "closed": F.lit(False),
+            "sequence": F.lit(2).cast("long"),
+            "recorded_at": F.lit("2000-01-01").cast("timestamp"),
+            "date": F.substring("hour_key", 1, 10),
+        }
+    )
+    early.write.mode("append").partitionBy("date").parquet(path)
+    assert n and ledger.closed("silver").count() == 0
+
+
 def test_silver_without_a_ledger_is_taken_whole(spark, lake):
     clean = clean_telemetry(to_bronze(hours_of(spark, 0, 1)))
     keyed = clean.withColumns(
