@@ -80,5 +80,42 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_WORDS = """regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+_DECONTAMINATION = f"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+items AS (
+  SELECT item_id, w, least(13, len(w)) AS size
+  FROM (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0
+),
+item_windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[j:j + size - 1], ' ') AS line
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS j FROM items)
+),
+places AS (
+  SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+  FROM docs, (SELECT DISTINCT size FROM items) WHERE len(w) >= size
+),
+found AS (
+  SELECT doc_id, item_id, i, p.size
+  FROM (SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS line FROM places) p
+  JOIN item_windows USING (size, line)
+),
+hits AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM found) GROUP BY doc_id
+),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_decontamination": _DECONTAMINATION}
