@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gustmill.llm.tables import saved
+from gustmill.llm.tables import free_finished_shuffles, saved
 
 
 def min_labels(links: DataFrame) -> DataFrame:
@@ -14,23 +14,24 @@ def min_labels(links: DataFrame) -> DataFrame:
     Large-star and small-star steps in turn: every vertex hands its larger neighbours, then
     its smaller ones, to the smallest vertex around it. A star step is one aggregate and one
     join; their number grows with the logarithm of the longest chain. Vertices with many
-    neighbours are met by partial aggregation and by splitting of skewed joins.
+    neighbours are met by partial aggregation and by splitting of skewed joins. All is done once
+    no vertex with a smaller neighbour has another one, which one aggregate tells.
     """
-    before = None
     edges = saved(links.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        around = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        if around.filter("m < u AND n > 1").isEmpty():
+            break
+        least = around.select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u != v").distinct()
+        large = large.filter("u != v")  # pairs that come twice go with the step's only distinct, below
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.filter("u != v").unionByName(down.select("u", F.col("m").alias("v"))).distinct()
         edges = saved(small)
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
+        del both, around, least, large, down, small
+        free_finished_shuffles(edges)
     labels = edges.select(F.col("u").alias("vertex"), F.col("v").alias("label"))
     roots = edges.select(F.col("v").alias("vertex"), F.col("v").alias("label")).distinct()
-    return labels.unionByName(roots).groupBy("vertex").agg(F.min("label").alias("label"))
+    return labels.unionByName(roots)

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gustmill.llm.components import min_labels
-from gustmill.llm.tables import maybe_broadcast, measured_broadcast, saved, text_of
+from gustmill.llm.tables import free_finished_shuffles, maybe_broadcast, measured_broadcast, saved, text_of
 
 MINIMA, BAND_ROWS, BITS = 128, 4, 2
 BANDS = MINIMA // BAND_ROWS
@@ -210,8 +210,13 @@ def _labels(members: DataFrame, signatures: DataFrame, sets: DataFrame, same: Da
     # Bands that are all of one part are done.
     bands = placed.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.min("doc_id").alias("first"))
     state = saved(placed.join(bands.filter("low != high").select("band", "first"), "band"))
+    del placed, bands, pairs
+    free_finished_shuffles(state)
     found = _block_links(state, sets)
-    return min_labels(links.unionByName(found))
+    if found.isEmpty():
+        return labels
+    # What is joined already goes in as stars, which need no further rounds.
+    return min_labels(labels.select(F.col("vertex").alias("a"), F.col("label").alias("b")).unionByName(found))
 
 
 def _outside(state: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from pathlib import Path
 
@@ -57,6 +58,16 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def free_finished_shuffles(df: DataFrame) -> None:
+    """Let Spark delete shuffle files that no live DataFrame needs.
+
+    Its cleaner acts on what the driver's garbage collector finds, which in a driver with a roomy
+    heap may be long after a loop of many rounds has filled the executors' disks.
+    """
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def small_enough(df: DataFrame, row_bytes: int) -> bool:
     """Whether all of ``df`` (saved before, so that counting is cheap) may be broadcast."""
     return df.count() * row_bytes <= BROADCAST_BYTES
