@@ -15,15 +15,24 @@ def row_bytes() -> Column:
     return F.octet_length(F.to_json(F.struct("*")))
 
 
-def join_side(n_bytes: int | None) -> Callable[[DataFrame], DataFrame]:
+def table_bytes(table: DataFrame) -> int:
+    """Size of ``table``, measured with one distributed aggregate."""
+    return table.agg(F.sum(row_bytes()).alias("n")).first()["n"] or 0
+
+
+def fits(n_bytes: int) -> bool:
+    return n_bytes <= MAX_BROADCAST_BYTES
+
+
+def join_side(n_bytes: int) -> Callable[[DataFrame], DataFrame]:
     """How to join projections of a table measured at ``n_bytes``.
 
     Below the bound they are hinted for broadcast. Beyond it they are left as they are, and the
     join shuffles, with AQE splitting its hot keys.
     """
-    return F.broadcast if (n_bytes or 0) <= MAX_BROADCAST_BYTES else lambda df: df
+    return F.broadcast if fits(n_bytes) else lambda df: df
 
 
 def measured_side(table: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """``join_side`` of ``table``, measured with one distributed aggregate."""
-    return join_side(table.agg(F.sum(row_bytes()).alias("n")).first()["n"])
+    """``join_side`` of ``table``."""
+    return join_side(table_bytes(table))

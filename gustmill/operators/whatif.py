@@ -3,23 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gustmill.functions.physics import (
     PowerCurve,
     curve_power_kw,
+    farm_places,
+    farm_wake_factor,
     rotor_rpm,
     turbine_status,
     wake_factor,
 )
 from gustmill.functions.quality import add_range_flags, measure
 from gustmill.operators.rollups import farm_kpis, hourly_energy
-from gustmill.operators.sizing import join_side, measured_side, row_bytes
+from gustmill.operators.sizing import fits, join_side, measured_side, table_bytes
 
-# Turbines held in one array; a larger farm is spread over several.
+# Turbines held in one array where coordinates are too many to send to every executor.
 MAX_BLOCK_TURBINES = 500
 
 
@@ -79,25 +81,32 @@ def _with_wind(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"_ux": F.cos(angle), "_uy": F.sin(angle)})
 
 
-def _blocks(turbines: DataFrame, n_blocks: int) -> DataFrame:
-    """Each farm's coordinates as two lists in id order, in ``n_blocks`` rows per farm.
+def _located(turbines: DataFrame) -> DataFrame:
+    """A turbine without coordinates shelters nobody; its own rows have no factor."""
+    return turbines.dropna(subset=["farm_id", "x_m", "y_m"])
 
-    A turbine without coordinates shelters nobody; its own rows have no factor.
-    """
-    turbines = turbines.dropna(subset=["x_m", "y_m"])
-    block = F.pmod(F.xxhash64("turbine_id"), F.lit(n_blocks))
+
+def _sent(turbines: DataFrame) -> Broadcast:
+    """Coordinates of all farms for every executor, in id order. Only for tables that fit."""
+    rows = _located(turbines).orderBy("farm_id", "turbine_id").select("farm_id", "x_m", "y_m")
+    return turbines.sparkSession.sparkContext.broadcast(farm_places(rows.toArrow()))
+
+
+def _blocks(turbines: DataFrame, max_turbines: int) -> DataFrame:
+    """Each farm's coordinates as two lists in id order, in rows of up to ``max_turbines``."""
+    place = F.row_number().over(Window.partitionBy("farm_id").orderBy("turbine_id"))
     members = F.sort_array(F.collect_list(F.struct("turbine_id", "x_m", "y_m")))
     return (
-        turbines.groupBy("farm_id", block.alias("_block"))
+        _located(turbines)
+        .withColumn("_block", F.floor((place - 1) / max_turbines))
+        .groupBy("farm_id", "_block")
         .agg(members.alias("_members"))
         .selectExpr("farm_id", "_members.x_m AS _source_x", "_members.y_m AS _source_y")
     )
 
 
-def _factor() -> Column:
-    return wake_factor(
-        "_x", "_y", "_ux", "_uy", "_source_x", "_source_y", "_strength", "_per_decay", "_per_width"
-    )
+_POSE = ("_x", "_y", "_ux", "_uy")
+_WAKE = ("_strength", "_per_decay", "_per_width")
 
 
 def _sheltered(
@@ -108,27 +117,22 @@ def _sheltered(
     named_only: bool = False,
 ) -> DataFrame:
     """Telemetry with ``wake_factor``, ``wind_speed_eff_mps`` and ``_rated_kw``."""
-    farms = turbines.groupBy("farm_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(row_bytes()).alias("bytes")
-    )
-    measured = farms.agg(F.max("n").alias("n"), F.sum("bytes").alias("bytes")).first()
-    n_blocks = max(1, ceil((measured["n"] or 0) / max_block_turbines))
-    turbine_side = join_side(measured["bytes"])
-    places = turbine_side(_places(turbines))
-    blocks = turbine_side(_blocks(turbines, n_blocks))
+    n_bytes = table_bytes(turbines)
+    places = join_side(n_bytes)(_places(turbines))
     params = measured_side(scenarios)(_params(scenarios))
     turbine, run = ["farm_id", "turbine_id"], ["sim_run_id"]
     rows = telemetry.join(params, run, "left_semi") if named_only else telemetry
-    if n_blocks == 1:
-        placed = rows.join(places, turbine, "left").join(params, run, "left")
-        faced = _with_wind(placed.join(blocks, "farm_id", "left"))
-        waked = faced.withColumn("wake_factor", _factor())
+    if fits(n_bytes):
+        placed = _with_wind(rows.join(places, turbine, "left").join(params, run, "left"))
+        factor = farm_wake_factor(_sent(turbines), "farm_id", *_POSE, *_WAKE)
+        waked = placed.withColumn("wake_factor", factor)
     else:
         pose = ["sim_run_id", "farm_id", "turbine_id", "wind_dir_deg"]
         poses = rows.select(*pose).dropna().distinct().join(places, turbine).join(params, run)
+        factor = wake_factor(*_POSE, "_source_x", "_source_y", *_WAKE)
         factors = (
-            _with_wind(poses.join(blocks, "farm_id"))
-            .withColumn("_part", _factor())
+            _with_wind(poses.join(_blocks(turbines, max_block_turbines), "farm_id"))
+            .withColumn("_part", factor)
             .groupBy(*pose)
             .agg(F.product("_part").alias("wake_factor"))
         )
@@ -147,9 +151,10 @@ def wake_effective_speed(
 ) -> DataFrame:
     """Add ``wake_factor`` and ``wind_speed_eff_mps``: free wind behind the farm's other turbines.
 
-    Farms of up to ``max_block_turbines`` meet each row as one list, without a shuffle. For larger
-    farms the lists are split into blocks: each distinct (run, farm, turbine, direction) gets a
-    factor per block, the factors are multiplied, and the product is joined back.
+    The turbines are measured first. Below the broadcast bound every executor gets all coordinates
+    once, and rows are neither shuffled nor given lists, whatever the size of a farm. Beyond it each
+    distinct (run, farm, turbine, direction) meets its farm's coordinates in lists of up to
+    ``max_block_turbines``; the factors are multiplied, and the product is joined back.
     """
     return _sheltered(telemetry, turbines, scenarios, max_block_turbines).drop("_rated_kw")
 
@@ -166,13 +171,14 @@ def what_if_telemetry(
     turbines: DataFrame,
     scenarios: DataFrame,
     curve: PowerCurve = PowerCurve(),
+    max_block_turbines: int = MAX_BLOCK_TURBINES,
 ) -> DataFrame:
     """Telemetry as the scenarios' wake and the power curve would make it from the free wind.
 
     Rows of runs that ``scenarios`` does not name are left out.
     """
     speed = F.col("wind_speed_eff_mps")
-    rows = _sheltered(telemetry, turbines, scenarios, named_only=True)
+    rows = _sheltered(telemetry, turbines, scenarios, max_block_turbines, named_only=True)
     replaced = (
         rows.withColumns(
             {
@@ -195,9 +201,10 @@ def what_if_energy(
     dt_seconds: float,
     rated_power_kw: float = 2000.0,
     curve: PowerCurve = PowerCurve(),
+    max_block_turbines: int = MAX_BLOCK_TURBINES,
 ) -> DataFrame:
     """Farm KPIs per scenario, from recorded free wind."""
-    rows = what_if_telemetry(telemetry, turbines, scenarios, curve)
+    rows = what_if_telemetry(telemetry, turbines, scenarios, curve, max_block_turbines)
     return farm_kpis(rows, dt_seconds, rated_power_kw)
 
 
@@ -207,6 +214,8 @@ def what_if_turbine_energy(
     scenarios: DataFrame,
     dt_seconds: float,
     curve: PowerCurve = PowerCurve(),
+    max_block_turbines: int = MAX_BLOCK_TURBINES,
 ) -> DataFrame:
     """Hourly turbine energy per scenario, from recorded free wind."""
-    return hourly_energy(what_if_telemetry(telemetry, turbines, scenarios, curve), dt_seconds)
+    rows = what_if_telemetry(telemetry, turbines, scenarios, curve, max_block_turbines)
+    return hourly_energy(rows, dt_seconds)

@@ -15,9 +15,10 @@ from gustmill.operators.dedup import keep_first
 from gustmill.operators.increments import without_closed
 from gustmill.operators.rollups import farm_kpis, hourly_energy
 from gustmill.operators.runs import runs_present
-from gustmill.operators.whatif import expected_power
+from gustmill.operators.whatif import expected_power, wake_effective_speed
 from gustmill.plans import increment as increments
 from gustmill.plans.increment import open_increment
+from gustmill.sources.events import wake_scenarios
 
 SF = "/root/testdata/sf0.001"
 
@@ -122,6 +123,15 @@ def test_closed_hours_go_before_the_aggregate(spark):
     assert text.index("LeftAnti") > text.index("partial_")
 
 
+def test_a_large_farm_shuffles_no_rows(spark):
+    grid = spark.range(600).selectExpr(
+        "IF(id < 590, 'BIG', 'F001') AS farm_id", "concat('T', lpad(id, 3, '0')) AS turbine_id",
+        "id * 10.0D AS x_m", "0.0D AS y_m", "2000.0D AS rated_power_kw",
+    )
+    text = plan(wake_effective_speed(telemetry(spark, {}), grid, wake_scenarios(spark), max_block_turbines=500))
+    assert exchanges(text) == 0 and "SortMergeJoin" not in text
+
+
 def test_dimension_beyond_the_bound_is_shuffled(spark, monkeypatch):
     turbines = spark.createDataFrame(
         [("F001", "T001", 0.0, 0.0, 2000.0)],
