@@ -15,12 +15,7 @@ from pyspark.sql import types as T
 
 from gustmill.functions.quality import add_range_flags
 from gustmill.operators.dedup import THREE_COLUMN_KEYS, flag_duplicates, keep_first
-from gustmill.operators.increments import (
-    commit_keys,
-    hours_of,
-    pending_hours,
-    without_closed,
-)
+from gustmill.operators.increments import closed_hours, hours_present, latest_entries, ledger_entries
 from gustmill.operators.layout import turbine_layout
 from gustmill.operators.rollups import farm_kpis, hourly_energy, row_energy
 from gustmill.operators.runs import missing_runs, runs_present, scenario_compare
@@ -32,11 +27,13 @@ from gustmill.operators.whatif import (
     what_if_energy,
     what_if_turbine_energy,
 )
+from gustmill.plans.increment import open_increment
 from gustmill.session import ensure_checkpoint_dir
 from gustmill.sources.events import farms_of, telemetry_from_events, wake_scenarios
 
 MINUTE, HOUR = 60.0, 3600.0
 CUTOFF = "2024-01-15T00:00:00Z"
+REDONE_BEFORE, COMMITTED_BEFORE = "2024-01-03T00:00:00Z", "2024-01-25T00:00:00Z"
 EXPECTED_RUNS = ("SIM-A", "SIM-B", "SIM-C")
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -53,16 +50,30 @@ def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_bronze(_telemetry(spark, sf_dir))
 
 
+def _share_checkpoints(spark: SparkSession) -> None:
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")  # shared, as checkpoints must be
+    ensure_checkpoint_dir(spark, f"{warehouse}/_checkpoints")
+
+
 def _once(df: DataFrame) -> DataFrame:
     """``df`` computed here and now, for tables that a query reads more than once."""
-    warehouse = df.sparkSession.conf.get("spark.sql.warehouse.dir")  # shared, as checkpoints must be
-    ensure_checkpoint_dir(df.sparkSession, f"{warehouse}/_checkpoints")
+    _share_checkpoints(df.sparkSession)
     return df.checkpoint()
 
 
-def _closed(hours: DataFrame) -> DataFrame:
-    """A ledger that has closed every hour before the cutoff."""
-    return hours.filter(F.col("hour_key") < CUTOFF)
+def _layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze as the jobs take it up, with a ledger's name for the hour."""
+    return _bronze(spark, sf_dir).withColumnRenamed("hour", "hour_key")
+
+
+def _ledger(layer: DataFrame) -> DataFrame:
+    """Entries that have closed every hour before the cutoff."""
+    return ledger_entries(hours_present(layer).filter(F.col("hour_key") < CUTOFF), True, 1)
+
+
+def _increment(layer: DataFrame, entries: DataFrame):
+    _share_checkpoints(layer.sparkSession)
+    return open_increment(layer, closed_hours(entries))
 
 
 def _turbines(telemetry: DataFrame) -> DataFrame:
@@ -129,19 +140,25 @@ def _farm_kpis(spark, sf_dir):
 
 
 def _pending_hours(spark, sf_dir):
-    hours = _once(hours_of(_bronze(spark, sf_dir)))
-    return _out(pending_hours(hours, _closed(hours)))
+    layer = _layer(spark, sf_dir)
+    return _out(_increment(layer, _ledger(layer)).hours)
 
 
 def _commit_keys(spark, sf_dir):
-    hours = _once(hours_of(_bronze(spark, sf_dir)))
-    closed = _closed(hours)
-    return _out(commit_keys(closed, pending_hours(hours, closed)))
+    """A part of the closed hours is reopened, then a part of the open ones is closed."""
+    layer = _layer(spark, sf_dir)
+    closed = _ledger(layer)
+    redone = ledger_entries(closed.filter(F.col("hour_key") < REDONE_BEFORE), False, 2)
+    entries = _once(closed.unionByName(redone))
+    pending = _increment(layer, entries).hours
+    done = ledger_entries(pending.filter(F.col("hour_key") < COMMITTED_BEFORE), True, 3)
+    return _out(latest_entries(entries.unionByName(done)).filter("closed").drop("closed"))
 
 
 def _open_silver(spark, sf_dir):
-    bronze = _bronze(spark, sf_dir)
-    return clean_telemetry(without_closed(bronze, _closed(hours_of(bronze))))
+    layer = _layer(spark, sf_dir)
+    rows = _increment(layer, _ledger(layer)).restrict(layer, ["sim_run_id", "farm_id", "date", "hour_key"])
+    return clean_telemetry(rows, also=["date", "hour_key"])
 
 
 def _hourly_energy_incremental(spark, sf_dir):
@@ -548,7 +565,12 @@ def _telemetry_sql() -> dict[str, str]:
             "SELECT DISTINCT sim_run_id, farm_id, date, hour_key FROM bronze "
             "ANTI JOIN closed USING (sim_run_id, farm_id, hour_key)",
         ),
-        "commit_keys": (_BRONZE, "SELECT DISTINCT sim_run_id, farm_id, hour_key FROM bronze"),
+        "commit_keys": (
+            _BRONZE,
+            "SELECT DISTINCT sim_run_id, farm_id, hour_key, CAST(CASE WHEN "
+            f"hour_key >= '{REDONE_BEFORE}' AND hour_key < '{CUTOFF}' THEN 1 ELSE 3 END AS BIGINT) "
+            f"AS sequence FROM bronze WHERE hour_key < '{COMMITTED_BEFORE}'",
+        ),
         "hourly_energy_incremental": (_OPEN_SILVER, _hourly("silver", MINUTE)),
         "farm_kpis_incremental": (f"{_OPEN_SILVER},{_kpi_ctes('silver', HOUR)}", _KPI_SELECT),
         "runs_present": (

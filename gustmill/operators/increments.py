@@ -1,47 +1,37 @@
-"""Which hours are open, and rows restricted to them."""
+"""Which hours are open: hours of a layer, entries of a ledger, and the latest word on each hour."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gustmill.functions.timekeys import date_key, floor_hour, hour_key
-
 HOUR = ("sim_run_id", "farm_id", "hour_key")
 
 
 def hours_present(layer: DataFrame) -> DataFrame:
-    """Distinct hours of a stored layer, from its partition columns alone."""
+    """Distinct hours of a layer; of a stored one, from its partition columns alone."""
     keys = ["sim_run_id", "farm_id", "date", "hour_key"]
     return layer.select(*keys).dropna().distinct()
 
 
-def hours_of(telemetry: DataFrame) -> DataFrame:
-    """Distinct hours of telemetry rows; the keys are formatted once per hour, not per row."""
-    hour = floor_hour(F.col("event_time")).alias("_hour")
-    hours = telemetry.select("sim_run_id", "farm_id", hour).dropna().distinct()
-    keys = {"date": date_key(F.col("_hour")), "hour_key": hour_key(F.col("_hour"))}
-    return hours.withColumns(keys).drop("_hour")
-
-
-def pending_hours(present: DataFrame, closed: DataFrame) -> DataFrame:
-    return present.join(closed.select(*HOUR), list(HOUR), "left_anti")
-
+def ledger_entries(hours: DataFrame, closed: bool, sequence: int) -> DataFrame:
+    """Entries that close or reopen ``hours``. A later entry has a larger ``sequence``."""
+    return hours.select(*HOUR).distinct().withColumns(
+        {
+            "closed": F.lit(closed),
+            "sequence": F.lit(sequence).cast("long"),
+            "recorded_at": F.current_timestamp(),
+            "date": F.substring("hour_key", 1, 10),
+        }
+    )
 
-def without_closed(telemetry: DataFrame, closed: DataFrame) -> DataFrame:
-    """Rows whose hour is open.
 
-    Joins on the hour as a timestamp, so no row of telemetry has its key formatted. The closed
-    hours carry no broadcast hint: they grow with farms and hours, and AQE measures them.
-    """
-    shut = closed.select(
-        "sim_run_id", "farm_id", F.to_timestamp("hour_key", "yyyy-MM-dd'T'HH:mm:ssX").alias("_hour")
-    )
-    keys = ["sim_run_id", "farm_id", "_hour"]
-    timed = telemetry.withColumn("_hour", floor_hour(F.col("event_time")))
-    return timed.join(shut, keys, "left_anti").select(*telemetry.columns)
+def latest_entries(entries: DataFrame) -> DataFrame:
+    """The last entry of each hour, whatever the clocks say; entries of old files have no sequence."""
+    order = F.struct(F.coalesce("sequence", F.lit(0)).alias("sequence"), "recorded_at")
+    last = entries.groupBy(*HOUR).agg(F.max_by(F.struct("closed", "sequence"), order).alias("last"))
+    return last.select(*HOUR, "last.*")
 
 
-def commit_keys(closed: DataFrame, done: DataFrame) -> DataFrame:
-    """Closed hours after ``done`` joined them."""
-    return closed.select(*HOUR).union(done.select(*HOUR)).distinct()
+def closed_hours(entries: DataFrame) -> DataFrame:
+    return latest_entries(entries).filter("closed").select(*HOUR)

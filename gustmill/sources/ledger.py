@@ -8,16 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gustmill.functions.timekeys import process_key
-from gustmill.operators.increments import HOUR
+from gustmill.operators.increments import HOUR, closed_hours, ledger_entries
 from gustmill.schemas import LEDGER, LEDGER_PARTITIONS, conform
 from gustmill.sources import files
 
 
-def _order():
-    """Later entries have larger sequence numbers, whatever the clocks say; old files have none."""
-    return F.struct(F.coalesce("sequence", F.lit(0)), "recorded_at")
-
-
 class Ledger:
     """A key counts as its latest row says, so no stored row is ever rewritten.
 
@@ -40,12 +35,7 @@ class Ledger:
             rows = files.read_partitioned(self.spark, self._folder(dataset), LEDGER, [], dates)
         else:
             rows = self.spark.createDataFrame([], LEDGER)
-        return (
-            rows.groupBy(*HOUR)
-            .agg(F.max_by("closed", _order()).alias("closed"))
-            .filter("closed")
-            .select(*HOUR)
-        )
+        return closed_hours(rows)
 
     def items(self, dataset: str) -> DataFrame:
         """Sorted ``run|farm|hour`` labels."""
@@ -64,12 +54,5 @@ class Ledger:
         if self.has(dataset):
             rows = files.read_partitioned(self.spark, self._folder(dataset), LEDGER, [])
             last = rows.agg(F.max("sequence")).first()[0] or 0
-        entries = hours.select(*HOUR).distinct().withColumns(
-            {
-                "closed": F.lit(closed),
-                "sequence": F.lit(last + 1).cast("long"),
-                "recorded_at": F.current_timestamp(),
-                "date": F.substring("hour_key", 1, 10),
-            }
-        )
+        entries = ledger_entries(hours, closed, last + 1)
         files.append(conform(entries, LEDGER), self._folder(dataset), LEDGER_PARTITIONS)

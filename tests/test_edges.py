@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-
 import pytest
+from pyspark.sql import functions as F
 
 from frames import at, dicts, telemetry
 from gustmill.functions.quality import add_range_flags
 from gustmill.operators.dedup import THREE_COLUMN_KEYS, flag_duplicates, keep_first
-from gustmill.operators.increments import commit_keys, pending_hours, without_closed
+from gustmill.operators.increments import HOUR, closed_hours, latest_entries, ledger_entries
 from gustmill.operators.rollups import farm_kpis, hourly_energy, row_energy
 from gustmill.operators.telemetry import clean_telemetry, to_bronze
+from gustmill.plans.increment import open_increment
 
 NAN = float("nan")
 
@@ -149,16 +150,30 @@ def test_silver_keeps_the_duplicate_column_false(spark):
 
 
 def test_ledger_joins(spark):
-    schema = "sim_run_id string, farm_id string, hour_key string"
-    shut = spark.createDataFrame([("SIM-A", "F001", "2026-01-05T00:00:00Z")], schema)
-    present = spark.createDataFrame(
-        [("SIM-A", "F001", "2026-01-05T00:00:00Z"), ("SIM-A", "F001", "2026-01-05T01:00:00Z")], schema
+    shut = spark.createDataFrame([("SIM-A", "F001", "2026-01-05T00:00:00Z")], ", ".join(f"{n} string" for n in HOUR))
+    rows = telemetry(
+        spark, {"event_time": at(0, 59)}, {"event_time": at(1)}, {"farm_id": "F002"}, {"farm_id": None}, {"event_time": None}
     )
-    assert [r.hour_key[11:13] for r in pending_hours(present, shut).collect()] == ["01"]
-    assert commit_keys(shut, present).count() == 2
-    rows = telemetry(spark, {"event_time": at(0, 59)}, {"event_time": at(1)}, {"farm_id": "F002"})
-    left = {(r.farm_id, r.event_time) for r in without_closed(rows, shut).collect()}
+    layer = to_bronze(rows).withColumnRenamed("hour", "hour_key")
+    found = open_increment(layer, shut)
+    assert (found.n_hours, found.n_present) == (2, 3)
+    left = {(r.farm_id, r.event_time) for r in found.restrict(layer, ["farm_id", "hour_key"]).collect()}
     assert left == {("F001", at(1)), ("F002", at(0))}
+    assert open_increment(layer, found.hours.limit(0)).restrict(layer, ["farm_id", "hour_key"]).count() == 3
+
+
+def test_latest_entry_counts(spark):
+    keys = ", ".join(f"{n} string" for n in HOUR)
+    one = spark.createDataFrame([("SIM-A", "F001", "2026-01-05T00:00:00Z")], keys)
+    two = one.unionByName(spark.createDataFrame([("SIM-A", "F001", "2026-01-05T01:00:00Z")], keys))
+    entries = ledger_entries(two.union(two), True, 2).unionByName(ledger_entries(one, False, 3))
+    assert [r.hour_key[11:13] for r in closed_hours(entries).collect()] == ["01"]
+    old = entries.withColumn("sequence", F.lit(None).cast("long")).withColumn("closed", ~F.col("closed"))
+    assert sorted((r.hour_key[11:13], r.closed, r.sequence) for r in latest_entries(entries.unionByName(old)).collect()) == [
+        ("00", False, 3),
+        ("01", True, 2),
+    ]
+    assert closed_hours(entries.limit(0)).count() == 0
 
 
 def test_flags_of_empty_input(spark):

@@ -12,7 +12,7 @@ from gustmill import Lake
 from gustmill.functions.quality import add_range_flags
 from gustmill.operators import sizing
 from gustmill.operators.dedup import keep_first
-from gustmill.operators.increments import without_closed
+from gustmill.operators.increments import hours_present
 from gustmill.operators.rollups import farm_kpis, hourly_energy
 from gustmill.operators.runs import runs_present
 from gustmill.operators.whatif import expected_power, wake_effective_speed
@@ -116,11 +116,12 @@ def test_dates_list_only_their_folders(lake):
     assert files and all("date=2026-01-06" in f for f in files)
 
 
-def test_closed_hours_go_before_the_aggregate(spark):
-    schema = "sim_run_id string, farm_id string, hour_key string"
-    shut = spark.createDataFrame([("SIM-A", "F001", "2026-01-05T00:00:00Z")], schema)
-    text = plan(hourly_energy(without_closed(add_range_flags(telemetry(spark, {})), shut), 60))
-    assert text.index("LeftAnti") > text.index("partial_")
+def test_closed_hours_go_before_the_aggregate(spark, lake):
+    layer = lake.bronze().withColumnRenamed("hour", "hour_key")
+    shut = hours_present(layer).filter("hour_key < '2026-01-06'")
+    rows = open_increment(layer, shut).restrict(layer, ["sim_run_id", "farm_id", "date", "hour_key"])
+    text = plan(hourly_energy(add_range_flags(rows), 60))
+    assert text.index("LeftSemi") > text.index("partial_")
 
 
 def test_a_large_farm_shuffles_no_rows(spark):
