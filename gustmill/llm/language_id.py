@@ -144,23 +144,23 @@ def _add(sums: dict[str, np.ndarray], found: dict[str, list]) -> None:
 def _judge(grams: list[tuple[np.ndarray, np.ndarray]], names: list[str], matrix: np.ndarray) -> pd.DataFrame:
     some = np.array([len(g[0]) > 0 for g in grams], dtype=bool)
     if not names or not some.any():
-        return pd.DataFrame({"lang_pred": [UNKNOWN] * len(grams), "score": np.zeros(len(grams))})
+        return pd.DataFrame({"lang_pred": [UNKNOWN] * len(grams), "score": np.zeros(len(grams)), "letters": some})
     vectors = bundles(grams)
     norms = np.linalg.norm(vectors, axis=1)
     cosines = vectors @ matrix.T / np.where(norms > 0, norms, 1)[:, None]
     best = cosines.argmax(axis=1)
     scores = np.clip(cosines[np.arange(len(grams)), best].astype(np.float64), 0, 1)
     found = np.where(some, np.array(names, dtype=object)[best], UNKNOWN)
-    return pd.DataFrame({"lang_pred": found, "score": np.where(some, scores, 0.0)})
+    return pd.DataFrame({"lang_pred": found, "score": np.where(some, scores, 0.0), "letters": some})
 
 
 def with_language(df: DataFrame, model: dict[str, np.ndarray], text: str = "text") -> DataFrame:
-    """The rows of ``df`` with ``_language``: lang_pred and score."""
+    """The rows of ``df`` with ``_language``: lang_pred, score and whether the text has letters."""
     names = list(model)
     matrix = np.array([model[n] / np.linalg.norm(model[n]) for n in names], dtype=np.float32).reshape(-1, DIMENSIONS)
     shared = df.sparkSession.sparkContext.broadcast((names, matrix))
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, letters boolean")
     def language(texts: pd.Series) -> pd.DataFrame:
         parts, grams, size = [], [], 0
         for value in texts:
@@ -190,6 +190,6 @@ def language_of(df: DataFrame) -> DataFrame:
 
 
 def accepted(df: DataFrame) -> DataFrame:
-    """The rows of ``df`` for which a language was found."""
+    """The rows of ``df`` whose text has a letter, also where no language could be learned."""
     found = with_language(df, _learned(df))
-    return found.filter(F.col("_language.lang_pred") != UNKNOWN).select(*df.columns)
+    return found.filter("_language.letters").select(*df.columns)

@@ -8,6 +8,7 @@ import re
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gustmill.llm import bpe, decontamination, edit_fingerprints, hmm_lm, html_pages, language_id, minhash, secrets, token_counts, url_filters
@@ -143,6 +144,13 @@ def test_language(docs):
     assert language_id.language_of(docs.limit(0)).count() == 0
 
 
+def test_texts_stay_when_no_language_is_learned(docs):
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.lang_pred for r in language_id.language_of(unlabelled).collect()} == {"und"}
+    kept = language_id.accepted(unlabelled).collect()
+    assert sorted(r.doc_id or 0 for r in kept) == [0, 1, 1, 2, 6, 7, 8, 9, 10]
+
+
 def test_fingerprints_against_a_plain_walk(docs):
     found = edit_fingerprints.fingerprints(docs).collect()
     order = sorted(((i is not None, i or 0, t or "") for i, t, *_ in ROWS))
