@@ -5,9 +5,9 @@ white space joined. Pages of one host are put in order of their path, and each i
 neighbour whose path shares the longer beginning. The lines of both are aligned by their longest
 common subsequence, and shared lines are deleted: what a site repeats is not the text of a page.
 
-Markup decides where it speaks clearly: scripts, styles, forms and page furniture (by element,
-role or class) go even if no neighbour repeats them, and lines inside the page's article element
-stay even if a neighbour shares them. On pages without one, differencing alone decides.
+Markup only follows: scripts, styles, forms and page furniture (by element, role or class) go even
+if no neighbour repeats them. A neighbour that shares more than half of the characters of the page's
+article elements is a copy of the page, not of its site: the lines within them then stay.
 
 A null html is empty and gives an empty text. A page whose url has no host, or that is alone on its
 host, has no partner. Pages with equal urls are neighbours, in order of page_id. Rows that repeat
@@ -158,14 +158,13 @@ def nearest(path: str, before: str | None, after: str | None) -> int:
     return int(len(os.path.commonprefix((path, after))) > len(os.path.commonprefix((path, before))))
 
 
-def main_text(lines: list[tuple[str, bool, bool]], partner: list[str] | None) -> str:
-    has_article = any(article and not furniture for _, furniture, article in lines)
+def main_text(lines: list[tuple[str, bool, bool]], partner: list[str] | None) -> list[str]:
+    """The lines that are left, in order."""
     shared = shared_lines([line[0] for line in lines], partner) if partner else set()
-    return "\n".join(
-        text
-        for i, (text, furniture, article) in enumerate(lines)
-        if not furniture and (article if has_article else i not in shared)
-    )
+    own = {i: len(text) for i, (text, furniture, article) in enumerate(lines) if article and not furniture}
+    if 2 * sum(n for i, n in own.items() if i in shared) > sum(own.values()):
+        shared -= own.keys()
+    return [text for i, (text, furniture, _) in enumerate(lines) if not furniture and i not in shared]
 
 
 LINES = "page_id bigint, url string, key string, host string, path string, lines array<string>, flags array<int>"
@@ -200,7 +199,7 @@ def extracted(pages: DataFrame) -> DataFrame:
         lines = [(t, bool(f & 1), bool(f & 2)) for t, f in zip(row[6], row[7], strict=True)]
         sides = [x if x is not None and x[0] == row[0] and x[4] == row[4] and row[4] else None for x in (before, after)]
         chosen = nearest(row[5], *[x[5] if x else None for x in sides])
-        text = main_text(lines, sides[chosen][6] if chosen >= 0 else None)
+        text = "\n".join(main_text(lines, sides[chosen][6] if chosen >= 0 else None))
         return row[2], row[3], text, len(text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -219,3 +219,10 @@ def test_page_text(spark):
     found = {r.page_id: r.text for r in html_pages.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert found == {1: "Head & one\nfirst line\nsecond é", 2: found[1], 3: "own 1", 4: "own 2", 5: ""}
     assert html_pages.shared_lines(list("abcbd"), list("bdcab")) in ({1, 4}, {0, 1}, {1, 2, 3}, {0, 3}, {1, 3}, {2, 3})
+
+
+def test_lines_of_an_article_are_differenced(spark):
+    page = "<body><p>site line</p><article><p>long text of page {0} alone</p><p>subscribe</p></article><p>beside {0}</p>"
+    rows = [(i, f"http://h/{i}", page.format(i)) for i in (1, 2)]
+    found = {r.page_id: r.text for r in html_pages.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: f"long text of page {i} alone\nbeside {i}" for i in (1, 2)}
