@@ -191,15 +191,15 @@ def _lines(pages: DataFrame) -> DataFrame:
     return parts.select("page_id", "url", key.alias("key"), "host", "path", "html").mapInArrow(work, LINES)
 
 
-def extracted(pages: DataFrame) -> DataFrame:
-    """``page_id, url, text, n_chars`` of every row."""
+def extracted(pages: DataFrame, joint: str = "\n") -> DataFrame:
+    """``page_id, url, text, n_chars`` of every row, with ``joint`` between blocks."""
     rows = in_order(_lines(pages), wrap=False).select("part", "edge", "page_id", "url", "host", "path", "lines", "flags")
 
     def result(before, row, after) -> tuple:
         lines = [(t, bool(f & 1), bool(f & 2)) for t, f in zip(row[6], row[7], strict=True)]
         sides = [x if x is not None and x[0] == row[0] and x[4] == row[4] and row[4] else None for x in (before, after)]
         chosen = nearest(row[5], *[x[5] if x else None for x in sides])
-        text = "\n".join(main_text(lines, sides[chosen][6] if chosen >= 0 else None))
+        text = joint.join(main_text(lines, sides[chosen][6] if chosen >= 0 else None))
         return row[2], row[3], text, len(text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -50,7 +50,7 @@ def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_pages.extracted(table(spark, sf_dir, "pages"))
+    return html_pages.extracted(table(spark, sf_dir, "pages"), joint="\n\n")
 
 
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gustmill.llm import bpe, decontamination, edit_fingerprints, hmm_lm, html_pages, language_id, minhash, secrets, token_counts, url_filters
+from gustmill.llm import bpe, decontamination, edit_fingerprints, hmm_lm, html_pages, language_id, minhash, queries, secrets, token_counts, url_filters
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 WORDS = [f"w{i}" for i in range(60)]
@@ -226,3 +226,10 @@ def test_lines_of_an_article_are_differenced(spark):
     rows = [(i, f"http://h/{i}", page.format(i)) for i in (1, 2)]
     found = {r.page_id: r.text for r in html_pages.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert found == {i: f"long text of page {i} alone\nbeside {i}" for i in (1, 2)}
+
+
+def test_blocks_of_the_query_are_two_line_feeds_apart(spark, tmp_path):
+    rows = [(1, "http://h/a", "<body><article><h1>one</h1><p>two<p>three</article>")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = queries.queries()["op7_html_text"](spark, str(tmp_path)).first()
+    assert (found.text, found.n_chars) == ("one\n\ntwo\n\nthree", 15)
