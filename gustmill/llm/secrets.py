@@ -6,10 +6,12 @@ that look drawn from it evenly. The battery asks for evenness of the alphabet (c
 as many runs above and below its middle as chance gives, and for no correlation of neighbours; a
 token that any of these refuses is no secret.
 
-False discoveries are kept to one in a hundred. The null hypothesis is a token made as text is,
-in which equal characters meet more often; how often is learned from all tokens without an
-encoding. Each token's count of equal pairs gives a p-value, and the Benjamini-Hochberg bound is
-set for each class of lengths apart, from counts of p-values over all rows: short tokens, which
+False discoveries are kept to one in a hundred. The null hypothesis is a token made as text is. For
+each encoding it is learned from all tokens without one, cut down to the encoding's alphabet: how
+often equal characters meet, on which chi-squared depends, and mean and spread of the statistics of
+all three tests. A token's statistics, each weighted by how far text is from even drawing, add up
+to one p-value (Stouffer), and the Benjamini-Hochberg bound is set for each class of lengths apart,
+from counts of p-values over all rows: short tokens, which
 tell little, don't weaken the bound of long ones. Counts are kept by length class and step of
 p-value, so what reaches the driver has a fixed bound.
 
@@ -40,6 +42,11 @@ REFUSAL = 3.0
 STEPS = 10  # of p-values, for each power of ten
 MOST = 30 * STEPS
 MARK = "[SECRET]"
+# Before any text is seen, as in written languages: equal ones of 1000 pairs and the spread of their
+# statistic, for so many tokens. Of the hexadecimal letters, e alone makes up nearly half.
+PRIOR = {"hex": (250, 1.6), "base32": (66, 1.25), "alnum": (66, 1.25), "base64": (66, 1.25)}
+PRIOR_TOKENS = 30
+LEAST_PLAIN = 8  # characters of the alphabet that a token must have to be learned from
 
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Alphabet by encoding, with the test that infers it; the first that fits is taken.
@@ -52,10 +59,20 @@ ENCODINGS = {
 
 
 @dataclass(frozen=True)
-class Bounds:
-    """What is learned: how often two characters of text agree, and steps of p by length class."""
+class Text:
+    """How often two characters of text agree, and mean and spread of each statistic."""
 
     agree: float
+    pairs: tuple[float, float]
+    runs: tuple[float, float]
+    serial: tuple[float, float]
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """What is learned: text by encoding, and steps of p by length class."""
+
+    text: dict[str, Text]
     least: dict[int, int]
 
 
@@ -125,10 +142,11 @@ def _equal_pairs(token: Column) -> Column:
 
 
 def _battery(token: Column, encoding: Column, pairs: Column) -> Column:
-    """Whether none of the three tests refuses that ``token`` is drawn evenly from its alphabet."""
+    """Standard deviations of the three tests from what even drawing from the alphabet gives."""
 
     def tests(x: Column) -> Column:
-        n, size, values = F.length(token).cast("double"), x["size"].cast("double"), x["values"]
+        # At least 2: Spark may evaluate this before a filter on the length.
+        n, size, values = F.greatest(F.length(token), F.lit(2)).cast("double"), x["size"].cast("double"), x["values"]
         squares = 2 * pairs + n
         free = size - 1
         chi = F.cbrt((size * squares / n - n) / free)
@@ -143,7 +161,7 @@ def _battery(token: Column, encoding: Column, pairs: Column) -> Column:
         around = F.aggregate(values, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean))
         beside = F.aggregate(following, F.lit(0.0), lambda a, p: a + (p["a"] - mean) * (p["b"] - mean))
         z_serial = F.when(around > 0, (beside / around + 1 / n) * F.sqrt(n)).otherwise(99.0)
-        return (z_even < REFUSAL) & (F.abs(z_runs) < REFUSAL) & (F.abs(z_serial) < REFUSAL)
+        return F.struct(z_even.alias("even"), z_runs.alias("runs"), z_serial.alias("serial"))
 
     folded = F.when(encoding.isin("hex", "alnum"), F.lower(token)).otherwise(token)
     alphabet = _alphabet(encoding)
@@ -151,6 +169,10 @@ def _battery(token: Column, encoding: Column, pairs: Column) -> Column:
     return let(F.struct(F.length(alphabet).alias("size"), values.alias("values")), tests)
 
 
+def _accepted(tests: Column) -> Column:
+    return (tests["even"] < REFUSAL) & (F.abs(tests["runs"]) < REFUSAL) & (F.abs(tests["serial"]) < REFUSAL)
+
+
 def _candidates(text: Column, base: Column) -> Column:
     """Tokens outside the base spans, with what the tests need."""
 
@@ -163,13 +185,19 @@ def _candidates(text: Column, base: Column) -> Column:
         token = x["value"]
         return let(
             F.struct(_encoding(token).alias("encoding"), _equal_pairs(token).alias("pairs")),
-            lambda y: F.struct(
-                x["start"].alias("start"),
-                x["end"].alias("end"),
-                F.length(token).cast("double").alias("n"),
-                y["encoding"].alias("encoding"),
-                y["pairs"].alias("pairs"),
-                F.when(y["encoding"].isNotNull(), _battery(token, y["encoding"], y["pairs"])).otherwise(False).alias("even"),
+            lambda y: let(
+                F.when(y["encoding"].isNotNull(), _battery(token, y["encoding"], y["pairs"])),
+                lambda z: F.struct(
+                    x["start"].alias("start"),
+                    x["end"].alias("end"),
+                    F.length(token).cast("double").alias("n"),
+                    y["encoding"].alias("encoding"),
+                    y["pairs"].alias("pairs"),
+                    z["runs"].alias("runs"),
+                    z["serial"].alias("serial"),
+                    F.coalesce(_accepted(z), F.lit(False)).alias("even"),
+                    F.when(y["encoding"].isNull(), token).alias("plain"),
+                ),
             ),
         )
 
@@ -180,13 +208,35 @@ def _length_class(n: Column) -> Column:
     return F.floor(2 * F.log2(n)).cast("int")
 
 
-def _step(n: Column, pairs: Column, agree: float) -> Column:
-    """Steps of the negative logarithm of the p-value that text agrees in so few pairs."""
-    expected = n * (n - 1) / 2 * F.lit(agree)
-    z = 2 * (F.sqrt(pairs + 0.75) - F.sqrt(expected))
-    odds = 1.5976 * z + 0.07056 * z * z * z
-    logarithm = F.log10(1 + F.exp(F.least(-odds, F.lit(300.0))))
-    return F.least(F.floor(logarithm * STEPS), F.lit(MOST)).cast("int")
+def _pairs_statistic(n: Column, pairs: Column, agree: Column) -> Column:
+    return 2 * (F.sqrt(pairs + 0.75) - F.sqrt(n * (n - 1) / 2 * agree))
+
+
+def _step(x, text: dict[str, Text]) -> Column:
+    """Steps of the negative logarithm of the p-value that text is as near to even drawing as ``x``."""
+
+    def of(learned: Text, size: int) -> Column:
+        n = x["n"]
+        mean, spread = learned.pairs
+        drawn = F.sqrt(n * (n - 1) / 2) * (2 * (size**-0.5 - learned.agree**0.5))  # expected of even drawing
+        terms = [((_pairs_statistic(n, x["pairs"], F.lit(learned.agree)) - mean) / spread, (drawn - mean) / spread)]
+        for name, (mean, spread) in (("runs", learned.runs), ("serial", learned.serial)):
+            terms.append(((x[name] - mean) / spread, F.lit(-mean / spread)))
+        added, weight = F.lit(0.0), F.lit(0.0)
+        for z, w in terms:
+            added, weight = added + z * w, weight + w * w
+        return F.when(weight > 0, added / F.sqrt(weight)).otherwise(0.0)
+
+    z = F.lit(0.0)
+    for name, learned in text.items():
+        z = F.when(x["encoding"] == name, of(learned, len(ENCODINGS[name][0]))).otherwise(z)
+
+    def steps(z: Column) -> Column:
+        odds = 1.5976 * z + 0.07056 * z * z * z
+        logarithm = F.log10(1 + F.exp(F.least(odds, F.lit(300.0))))
+        return F.least(F.floor(logarithm * STEPS), F.lit(MOST)).cast("int")
+
+    return let(z, steps)
 
 
 def _scanned(df: DataFrame) -> DataFrame:
@@ -195,16 +245,52 @@ def _scanned(df: DataFrame) -> DataFrame:
     return df.withColumn("_scan", scan)
 
 
+def learn_text(tokens: DataFrame) -> dict[str, Text]:
+    """From tokens without an encoding (``plain``): how text of each encoding's alphabet behaves."""
+
+    def cut(name: str) -> Column:
+        folded = {"hex": F.lower, "alnum": F.lower, "base32": F.upper}.get(name, lambda c: c)(F.col("plain"))
+        inside = {"hex": "0-9a-f", "base32": "A-Z2-7", "alnum": "0-9a-z", "base64": "A-Za-z0-9+/_-"}[name]
+        return F.struct(F.lit(name).alias("encoding"), F.regexp_replace(folded, f"[^{inside}]", "").alias("token"))
+
+    rows = tokens.select(F.explode(F.array(*map(cut, ENCODINGS))).alias("x")).select("x.*")
+    rows = rows.filter(F.length("token") >= LEAST_PLAIN).withColumn("pairs", _equal_pairs(F.col("token")))
+    rows = rows.select("encoding", F.length("token").cast("double").alias("n"), "pairs", _battery(F.col("token"), F.col("encoding"), F.col("pairs")).alias("z"))
+    rows = saved(rows.filter("abs(z.runs) < 99 AND abs(z.serial) < 99").select("encoding", "n", "pairs", "z.runs", "z.serial"))
+    sums = rows.groupBy("encoding").agg(F.sum("pairs").alias("pairs"), F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("possible"))
+    agree = {name: equal / 1000 for name, (equal, _) in PRIOR.items()}
+    for r in sums.collect():
+        agree[r["encoding"]] = (PRIOR[r["encoding"]][0] + r["pairs"]) / (1000 + r["possible"])
+    expected = F.lit(0.0)
+    for name, share in agree.items():
+        expected = F.when(F.col("encoding") == name, F.lit(share)).otherwise(expected)
+    rows = rows.select("encoding", _pairs_statistic(F.col("n"), F.col("pairs"), expected).alias("pairs"), "runs", "serial")
+    names = ("pairs", "runs", "serial")
+    moments = rows.groupBy("encoding").agg(
+        F.count("*").alias("count"),
+        *[F.sum(c).alias(c) for c in names],
+        *[F.sum(F.col(c) * F.col(c)).alias(f"{c}_2") for c in names],
+    )
+    found = {r["encoding"]: r for r in moments.collect()}
+    out = {}
+    for name, (_, spread) in PRIOR.items():
+        r, both = found.get(name), []
+        for c in names:
+            count = PRIOR_TOKENS + (r["count"] if r else 0)
+            mean = (r[c] if r else 0.0) / count
+            square = (PRIOR_TOKENS * (spread if c == "pairs" else 1.0) ** 2 + (r[f"{c}_2"] if r else 0.0)) / count
+            both.append((mean, max(square - mean * mean, 0.25) ** 0.5))
+        out[name] = Text(agree[name], *both)
+    return out
+
+
 def learn_bounds(df: DataFrame) -> Bounds:
-    """From all rows: the agreement of text, and the Benjamini-Hochberg step of each length class."""
+    """From all rows: text by encoding, and the Benjamini-Hochberg step of each length class."""
     tokens = _scanned(df.select("text")).select(F.explode("_scan.tokens").alias("t"))
-    tokens = saved(tokens.select("t.n", "t.encoding", "t.pairs", "t.even"))
-    plain = tokens.filter("encoding IS NULL").agg(
-        F.sum("pairs").alias("pairs"), F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("possible")
-    ).first()
-    # Before any text is seen: 66 of 1000 pairs, as in written languages.
-    agree = (66 + (plain["pairs"] or 0)) / (1000 + (plain["possible"] or 0))
-    steps = F.when(F.col("even"), _step(F.col("n"), F.col("pairs"), agree)).otherwise(0)
+    tokens = saved(tokens.select("t.n", "t.encoding", "t.pairs", "t.runs", "t.serial", "t.even", "t.plain"))
+    text = learn_text(tokens.filter("plain IS NOT NULL").select("plain"))
+    row = {c: F.col(c) for c in ("n", "encoding", "pairs", "runs", "serial")}
+    steps = F.when(F.col("even"), _step(row, text)).otherwise(0)
     counts = (
         tokens.filter("encoding IS NOT NULL")
         .groupBy(_length_class(F.col("n")).alias("length"), steps.alias("step"))
@@ -220,14 +306,14 @@ def learn_bounds(df: DataFrame) -> Bounds:
             # All of this step have p-values up to 10 ** (-step / STEPS).
             if tested * 10 ** (-step / STEPS) <= FALSE_DISCOVERIES * smaller:
                 least[length] = step
-    return Bounds(agree, least)
+    return Bounds(text, least)
 
 
 def _discovered(x: Column, bounds: Bounds) -> Column:
     least = F.lit(MOST + 1)
     for length, step in bounds.least.items():
         least = F.when(_length_class(x["n"]) == length, F.lit(step)).otherwise(least)
-    return x["even"] & (_step(x["n"], x["pairs"], bounds.agree) >= least)
+    return x["even"] & (_step(x, bounds.text) >= least)
 
 
 def _ranked(spans: Column, rank: int) -> Column:

@@ -233,3 +233,29 @@ def test_blocks_of_the_query_are_two_line_feeds_apart(spark, tmp_path):
     spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     found = queries.queries()["op7_html_text"](spark, str(tmp_path)).first()
     assert (found.text, found.n_chars) == ("one\n\ntwo\n\nthree", 15)
+
+
+def test_random_tokens_of_every_encoding_are_discovered(spark):
+    rng = np.random.default_rng(8)
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    alphabets = {"hex": digits + "ABCDEF", "base32": upper + "234567", "alnum": digits + upper, "base64": upper + upper.lower() + digits + "-_"}
+    plain = ["international", "representation", "understanding", "kommunikation", "gouvernement", "responsabilidad", "Verantwortung", "environment"]
+    rows, planted = [], {}
+    for name, alphabet in alphabets.items():
+        for size in (20, 32, 40, 64):
+            for _ in range(40):
+                token = "".join(rng.choice(list(alphabet), size))
+                planted[len(rows)] = (name, size)
+                rows.append((len(rows), f"see {token} now"))
+    for _ in range(2000):
+        words = rng.choice(plain, 3)
+        text = "".join(words) if rng.random() < 0.9 else "".join(words) + str(rng.integers(2000, 2030))
+        rows.append((len(rows), f"see {text} now"))
+    found = {r.doc_id for r in secrets.secret_digests(spark.createDataFrame(rows, "doc_id long, text string")).filter("n_random > 0").collect()}
+    recall = {}
+    for i, key in planted.items():
+        recall[key] = recall.get(key, 0) + (i in found) / 40
+    print(recall, len([i for i in found if i not in planted]))
+    assert all(recall["hex", size] >= 0.9 for size in (20, 32, 40, 64))
+    assert all(recall[name, size] >= 0.9 for name in alphabets for size in (40, 64))
+    assert sum(i not in planted for i in found) <= 0.02 * len(found)
