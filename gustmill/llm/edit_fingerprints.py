@@ -8,8 +8,9 @@ quarter of an octave of places, and a text has the levels that its output reache
 writes the levels as hexadecimal digits. Likeness weighs the agreement of levels by their spans and
 corrects it for bits equal by chance.
 
-``near_links`` takes documents that agree in all bits of one of their last levels as candidates and
-keeps those alike enough.
+Documents that agree in all of 20 bits drawn by the levels' spans, in one of 64 draws, are
+candidates; those alike enough are linked, and classes are what links connect. Texts two levels
+apart are never alike enough.
 
 A null text is empty, with an empty fingerprint; two empty ones are alike. Documents are in order
 of doc_id, then text; a null doc_id comes first, and repeated ones each have the row after them as
@@ -24,10 +25,12 @@ from collections.abc import Iterator
 from decimal import Decimal
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gustmill.llm.components import min_labels
 from gustmill.llm.ordering import FIRST, OWN, in_order
 from gustmill.llm.tables import saved, text_of
 
@@ -35,7 +38,10 @@ PERIOD = 4096  # places after which the walk's bits repeat
 KINDS = 256  # characters are told apart by their hash to so many
 SAMPLES = 16  # bits of a level
 LEVELS = 140  # enough for 2 ** 39 places
-BANDS = 8  # last levels that make candidates
+#: At likeness 0.8 bits agree with 0.9, so a pair shares no band about once in 4000 cases.
+BANDS, BAND_BITS = 64, 20
+SHORTER_BANDS = 12  # of one level less: such pairs can only be near if their bits agree with 0.96
+BLOCK = 512  # fingerprints that a task compares with as many
 NEAR = 0.8
 
 _RNG = np.random.default_rng(31)
@@ -60,6 +66,7 @@ _PLACES = np.stack(
     [np.sort(_RNG.integers(a, b, SAMPLES)) for a, b in zip(_STARTS, _STARTS[1:], strict=False)]
 )
 _BITS = _RNG.integers(0, 2, (KINDS + 1, SAMPLES), dtype=np.uint8)  # the last row: past the end
+_BAND_PLACES: dict[int, np.ndarray] = {}
 _LANES = 64  # with fewer texts left than this, they are walked one by one
 
 
@@ -209,22 +216,84 @@ def fingerprints(df: DataFrame) -> DataFrame:
     return rows.mapInArrow(work, OUT)
 
 
+def _band_places(levels: int) -> np.ndarray:
+    """By band: places of its bits in a fingerprint of so many levels, drawn by the levels' spans."""
+    rng = np.random.default_rng((41, levels))
+    spans = _SPANS[:levels] / _SPANS[:levels].sum()
+    return rng.choice(levels, (BANDS, BAND_BITS), p=spans) * SAMPLES + rng.integers(0, SAMPLES, (BANDS, BAND_BITS))
+
+
+def band_keys(print_: str) -> list[int]:
+    """Keys of all bands at the text's own levels, and of some at one level less."""
+    bits = np.unpackbits(np.frombuffer(bytes.fromhex(print_), dtype=np.uint8)).astype(np.int64)
+    own, keys = len(bits) // SAMPLES, []
+    for levels, bands in ((own, BANDS), (own - 1, SHORTER_BANDS)):
+        if levels:
+            if levels not in _BAND_PLACES:
+                _BAND_PLACES[levels] = _band_places(levels)
+            values = bits[_BAND_PLACES[levels][:bands]] @ (1 << np.arange(BAND_BITS, dtype=np.int64))
+            keys += ((np.int64(levels) * BANDS + np.arange(bands)) << BAND_BITS | values).tolist()
+    return keys
+
+
 def near_links(prints: DataFrame, least: float = NEAR) -> DataFrame:
-    """``a, b, likeness``: documents and the smallest doc_id that shares a band with them.
+    """``vertex, label``: each linked doc_id and the smallest that links of ``least`` lead to.
 
-    ``prints`` has ``doc_id`` and ``fingerprint``. Equal fingerprints are folded first and come
-    back as links to their smallest doc_id; so no group is listed pair by pair.
+    ``prints`` has ``doc_id`` and ``fingerprint``. Equal fingerprints are folded first. Each other one
+    is compared with the smallest doc_id of each of its bands; where a band is not all of one part
+    then, those outside its largest part are compared with all of it, in blocks.
     """
     named = prints.filter("doc_id IS NOT NULL AND fingerprint != ''").select("doc_id", "fingerprint")
-    classes = saved(named.groupBy("fingerprint").agg(F.min("doc_id").alias("a")))
-    copies = named.join(classes, "fingerprint").filter("doc_id != a")
-    copies = copies.select("a", F.col("doc_id").alias("b"), F.lit(1.0).alias("likeness")).distinct()
-    levels = (F.length("fingerprint") / 4).cast("int")
-    bands = F.sequence(F.greatest(levels - BANDS, F.lit(0)), levels - 1)
-    members = classes.select(F.col("a").alias("doc_id"), "fingerprint", F.explode(bands).alias("level"))
-    members = members.withColumn("bits", F.expr("substring(fingerprint, level * 4 + 1, 4)"))
-    pivots = members.groupBy("level", "bits").agg(F.min_by(F.struct("doc_id", "fingerprint"), "doc_id").alias("p"))
-    pairs = members.join(pivots, ["level", "bits"]).filter("doc_id != p.doc_id")
-    pairs = pairs.select(F.col("p.doc_id").alias("a"), F.col("doc_id").alias("b"), F.col("p.fingerprint").alias("of_a"), F.col("fingerprint").alias("of_b")).distinct()
-    pairs = pairs.withColumn("likeness", F.udf(likeness, "double", useArrow=True)("of_a", "of_b")).filter(F.col("likeness") >= least)
-    return copies.unionByName(pairs.select("a", "b", "likeness"))
+    classes = saved(named.groupBy("fingerprint").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")))
+    copies = named.join(classes.filter("n > 1"), "fingerprint").filter("doc_id != a")
+    copies = copies.select("a", F.col("doc_id").alias("b")).distinct()
+    keys = F.udf(band_keys, "array<bigint>", useArrow=True)("fingerprint")
+    members = classes.select(F.explode(keys).alias("band"), F.col("a").alias("doc_id"), F.xxhash64("fingerprint").alias("h"))
+    met = members.groupBy("band").agg(F.min_by(F.struct("doc_id", "h"), F.struct("doc_id", "h")).alias("pivot"), F.count("*").alias("n"))
+    members = saved(members.join(met.filter("n > 1"), "band"))
+    of = classes.select(F.xxhash64("fingerprint").alias("h"), F.col("a").alias("doc_id"), "fingerprint")
+    pairs = members.filter("doc_id != pivot.doc_id").select("doc_id", "h", F.col("pivot.doc_id").alias("a"), F.col("pivot.h").alias("h_a")).distinct()
+    pairs = pairs.join(of, ["h", "doc_id"])
+    pairs = pairs.join(of.select(F.col("h").alias("h_a"), F.col("doc_id").alias("a"), F.col("fingerprint").alias("of_a")), ["h_a", "a"])
+    alike = F.udf(likeness, "double", useArrow=True)("of_a", "fingerprint") >= least
+    links = saved(pairs.filter(alike).select("a", F.col("doc_id").alias("b")).unionByName(copies))
+    labels = saved(min_labels(links))
+    placed = members.filter("n > 2").join(labels, members.doc_id == labels.vertex, "left")
+    placed = placed.select("band", "doc_id", "h", F.coalesce("label", "doc_id").alias("part"))
+    mixed = placed.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n")).filter("low != high")
+    main = placed.groupBy("band", "part").agg(F.count("*").alias("n")).groupBy("band")
+    main = main.agg(F.max_by("part", F.struct("n", "part")).alias("main"))
+    docs = placed.join(mixed.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "band").join(main, "band")
+    docs = saved(docs.join(of, ["h", "doc_id"]).withColumn("own", F.pmod(F.xxhash64("doc_id", "h"), F.col("blocks")).cast("int")))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    columns = ["band", "one", "two", "doc_id", "part", "fingerprint"]
+    left = docs.filter("part != main").withColumn("one", F.col("own")).withColumn("two", every).select(*columns)
+    right = docs.withColumn("two", F.col("own")).withColumn("one", every).select(*[F.col(c) for c in columns])
+    right = right.select(*[F.col(c).alias(f"{c}_2") for c in columns])
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(left) and len(right):
+            for doc, part, own in zip(left["doc_id"], left["part"], left["fingerprint"], strict=True):
+                joined = {part}
+                for other, other_part, of_other in zip(right["doc_id_2"], right["part_2"], right["fingerprint_2"], strict=True):
+                    if other_part not in joined and likeness(own, of_other) >= least:
+                        joined.add(other_part)
+                        found.append((int(doc), int(other)))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    more = left.groupBy("band", "one", "two").cogroup(right.groupBy("band_2", "one_2", "two_2"))
+    more = saved(more.applyInPandas(compare, "a bigint, b bigint"))
+    return min_labels(labels.select(F.col("vertex").alias("a"), F.col("label").alias("b")).unionByName(more))
+
+
+def with_classes(df: DataFrame) -> DataFrame:
+    """``fingerprints`` with ``class_id``, the smallest doc_id linked, and ``n_class``, the rows of the class."""
+    rows = saved(fingerprints(df))
+    labels = near_links(rows)
+    rows = rows.join(labels, rows.doc_id == labels.vertex, "left").withColumn("class_id", F.coalesce("label", "doc_id"))
+    rows = saved(rows.drop("vertex", "label"))
+    sizes = rows.filter("class_id IS NOT NULL").groupBy("class_id").agg(F.count("*").alias("n_class"))
+    return rows.join(sizes, "class_id", "left").select(
+        *[f.split()[0] for f in OUT.split(", ")], "class_id", F.coalesce("n_class", F.lit(1)).cast("bigint").alias("n_class")
+    )

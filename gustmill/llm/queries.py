@@ -33,7 +33,7 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+    return edit_fingerprints.with_classes(table(spark, sf_dir, "documents"))
 
 
 def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:

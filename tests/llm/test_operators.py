@@ -259,3 +259,25 @@ def test_random_tokens_of_every_encoding_are_discovered(spark):
     assert all(recall["hex", size] >= 0.9 for size in (20, 32, 40, 64))
     assert all(recall[name, size] >= 0.9 for name in alphabets for size in (40, 64))
     assert sum(i not in planted for i in found) <= 0.02 * len(found)
+
+
+def test_classes_of_fingerprints_against_brute_force(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for group in range(40):
+        text = " ".join("".join(rng.choice(list("abcdefghij"), 5)) for _ in range(int(rng.integers(20, 120))))
+        for _ in range(5):
+            cut = int(len(text) * rng.uniform(0.75, 1))
+            rows.append((len(rows), text[:cut] + "".join(rng.choice(list("klmnop "), len(text) - cut))))
+    rows += [(900, rows[0][1]), (901, ""), (None, "no id")]
+    found = edit_fingerprints.with_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    prints = {r.doc_id: r.fingerprint for r in found if r.doc_id is not None and r.fingerprint}
+    near = [(a, b) for a in prints for b in prints if a < b and edit_fingerprints.likeness(prints[a], prints[b]) >= edit_fingerprints.NEAR]
+    label = {i: i for i in prints}
+    for _ in prints:
+        for a, b in near:
+            label[a] = label[b] = min(label[a], label[b])
+    of = {r.doc_id: r for r in found}
+    assert len(near) > 40 and {i: of[i].class_id for i in prints} == label
+    assert all(of[i].n_class == sum(x == label[i] for x in label.values()) for i in prints)
+    assert len(found) == len(rows) and of[None].class_id is None and of[901].class_id == 901
