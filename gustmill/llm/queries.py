@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gustmill.llm import (
     bpe,
+    cross_tokenizers,
     decontamination,
     edit_fingerprints,
     hmm_lm,
@@ -17,11 +18,14 @@ from gustmill.llm import (
     minhash,
     secrets,
     token_counts,
+    token_files,
     url_filters,
+    whitening,
 )
 from gustmill.llm.tables import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +69,18 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_of(table(spark, sf_dir, "documents"))
 
 
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_rows(table(spark, sf_dir, "embeddings"))
+
+
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_file_digests(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_tokenizers.alignment_digests(table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": _op1,
@@ -77,6 +93,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": _op8,
         "op9_token_counts": _op9,
         "op10_language_id": _op10,
+        "op11_whitening": _op11,
+        "op12_token_files": _op12,
+        "op13_alignment": _op13,
     }
 
 
