@@ -7,6 +7,7 @@ Every query reads telemetry derived from the ``events`` table. Timestamps leave
 from __future__ import annotations
 
 import importlib.util
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,7 @@ from gustmill.operators.whatif import (
     what_if_turbine_energy,
 )
 from gustmill.plans.increment import open_increment
+from gustmill.plans.packed import PackedLake
 from gustmill.session import ensure_checkpoint_dir
 from gustmill.sources.events import farms_of, telemetry_from_events, wake_scenarios
 
@@ -229,6 +231,67 @@ def _what_if_compare(spark, sf_dir):
     return _out(scenario_compare(kpis, "SIM-A", "SIM-B"))
 
 
+# Queries over a stored lake. Events from the cutoff on, and some of each hundred before it, come
+# by a second append: late rows for hours that are closed by then. Then the hours of the first days
+# are run again, and take their late rows up.
+
+
+def _stored_lake(spark, sf_dir, *, silver: bool = True, gold: tuple[str, ...] = ()) -> PackedLake:
+    telemetry = _telemetry(spark, sf_dir)
+    _share_checkpoints(spark)
+    lake = PackedLake(spark, f"{spark.sparkContext.getCheckpointDir()}/lake-{uuid.uuid4().hex}")
+
+    def run_jobs() -> None:
+        if silver:
+            lake.run_silver()
+        if "hourly_energy" in gold:
+            lake.run_hourly_energy(MINUTE)
+        if "farm_kpis" in gold:
+            lake.run_farm_kpis(HOUR)
+
+    late = F.col("source").cast("bigint") % 100 == 7
+    early = (F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss'Z'") < CUTOFF) & ~late
+    for batch in (telemetry.filter(early), telemetry.filter(~early)):
+        lake.write_bronze(batch)
+        run_jobs()
+    if silver:
+        redone = lake.closed("silver").filter(F.col("hour_key") < REDONE_BEFORE)
+        for name in ("silver", *gold):
+            lake.reopen(name, redone)
+        run_jobs()
+    return lake
+
+
+def _lake_bronze(spark, sf_dir):
+    """After both appends have been packed into one file a day."""
+    lake = _stored_lake(spark, sf_dir, silver=False)
+    lake.compact("bronze")
+    return _out(lake.bronze())
+
+
+def _lake_arrived(spark, sf_dir):
+    return _out(_stored_lake(spark, sf_dir, silver=False).arrived())
+
+
+def _lake_silver(spark, sf_dir):
+    return _out(_stored_lake(spark, sf_dir).silver())
+
+
+def _lake_hourly_energy(spark, sf_dir):
+    return _out(_stored_lake(spark, sf_dir, gold=("hourly_energy",)).hourly_energy())
+
+
+def _lake_farm_kpis(spark, sf_dir):
+    return _out(_stored_lake(spark, sf_dir, gold=("farm_kpis",)).farm_kpis())
+
+
+def _lake_ledger(spark, sf_dir):
+    """Closed hours of silver and farm KPIs, with the version that closed them."""
+    lake = _stored_lake(spark, sf_dir, gold=("farm_kpis",))
+    ledgers = [lake.closed(name).withColumn("dataset", F.lit(name)) for name in ("silver", "farm_kpis")]
+    return _out(ledgers[0].unionByName(ledgers[1]))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Hourly turbine energy on the smallest test data."""
     return _hourly_energy(spark, SMOKE_DIR)
@@ -285,6 +348,12 @@ def _telemetry_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "what_if_energy": _what_if_energy,
         "what_if_turbine_energy": _what_if_turbine_energy,
         "what_if_compare": _what_if_compare,
+        "lake_bronze": _lake_bronze,
+        "lake_arrived": _lake_arrived,
+        "lake_silver": _lake_silver,
+        "lake_hourly_energy": _lake_hourly_energy,
+        "lake_farm_kpis": _lake_farm_kpis,
+        "lake_ledger": _lake_ledger,
     }
 
 
@@ -518,6 +587,16 @@ wind AS (
   FROM silver, (VALUES ('SIM-A'), ('SIM-B')) AS runs(run) WHERE sim_run_id = 'SIM-A'
 ),{_wake_ctes('wind')},{_WHAT_IF}"""
 
+_STORED = f"""{_BRONZE},
+first_batch AS (SELECT * FROM bronze WHERE hour_key < '{CUTOFF}' AND CAST(source AS BIGINT) % 100 <> 7),
+first_hours AS (SELECT DISTINCT sim_run_id, farm_id, hour_key FROM first_batch),
+taken AS (
+  SELECT * FROM bronze WHERE hour_key < '{REDONE_BEFORE}'
+  UNION ALL SELECT * FROM first_batch WHERE hour_key >= '{REDONE_BEFORE}'
+  UNION ALL SELECT * FROM bronze ANTI JOIN first_hours USING (sim_run_id, farm_id, hour_key)
+  WHERE hour_key >= '{REDONE_BEFORE}'
+),{_silver_cte('taken')}"""
+
 _TELEMETRY_COLUMNS = """event_time, farm_id, turbine_id, wind_speed_free_mps, wind_speed_mps,
   wind_dir_deg, power_kw, rotor_speed_rpm, yaw_deg, status, sim_run_id, ingest_time, source"""
 
@@ -604,5 +683,25 @@ def _telemetry_sql() -> dict[str, str]:
         "what_if_energy": (f"{_WHAT_IF_SILVER},{_kpi_ctes('whatif', HOUR)}", _KPI_SELECT),
         "what_if_turbine_energy": (_WHAT_IF_SILVER, _hourly("whatif", MINUTE)),
         "what_if_compare": (f"{_SAME_WIND},{_kpi_ctes('whatif', HOUR)}", _COMPARE_SELECT),
+        "lake_bronze": (_BRONZE, f"SELECT {_TELEMETRY_COLUMNS}, date, hour_key AS hour FROM bronze"),
+        "lake_arrived": (
+            _BRONZE,
+            "SELECT date, sim_run_id, farm_id, hour_key, count(*) AS n_rows FROM bronze GROUP BY ALL",
+        ),
+        "lake_silver": (
+            _STORED,
+            f"SELECT {_TELEMETRY_COLUMNS}, is_duplicate, has_range_violation, "
+            "range_violation_fields, date, hour_key FROM silver",
+        ),
+        "lake_hourly_energy": (_STORED, _hourly("silver", MINUTE)),
+        "lake_farm_kpis": (f"{_STORED},{_kpi_ctes('silver', HOUR)}", _KPI_SELECT),
+        "lake_ledger": (
+            _STORED,
+            "SELECT dataset, date, sim_run_id, farm_id, hour_key, CAST(CASE "
+            f"WHEN hour_key < '{REDONE_BEFORE}' THEN 4 WHEN first_hours.hour_key IS NOT NULL THEN 1 "
+            "ELSE 2 END AS BIGINT) AS version FROM (SELECT DISTINCT date, sim_run_id, farm_id, hour_key "
+            "FROM bronze) LEFT JOIN first_hours USING (sim_run_id, farm_id, hour_key), "
+            "(VALUES ('silver'), ('farm_kpis')) AS names(dataset)",
+        ),
     }
     return {name: f"WITH {ctes}\n{select}" for name, (ctes, select) in selects.items()}

@@ -105,6 +105,19 @@ LEDGER = _schema(
     ("date", _S),
 )
 
+# Hours of a packed table: those that came (``closed`` is null), were closed or reopened. ``version``
+# is set where entries of several versions share a file; ``again`` marks hours taken before.
+HOURS = _schema(
+    ("sim_run_id", _S),
+    ("farm_id", _S),
+    ("hour_key", _S),
+    ("date", _S),
+    ("closed", _B),
+    ("version", _L),
+    ("n_rows", _L),
+    ("again", _B),
+)
+
 FARMS = _schema(
     ("farm_id", _S),
     ("n_rows", T.IntegerType()),
