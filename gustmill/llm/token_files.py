@@ -18,7 +18,6 @@ Repeated rows give a row each, an empty table no row. Other columns are not read
 
 from __future__ import annotations
 
-import functools
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
@@ -30,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gustmill.llm.bpe import vocabulary_text
+from gustmill.llm.piecewise import tokenizer
 from gustmill.llm.tables import scratch_folder, text_of
 
 END_ID = 0
@@ -40,16 +40,6 @@ BLOOM_FALSE_RATE = 0.01
 STORED = "part int, at bigint, doc_id bigint, n_tokens bigint, ids array<int>"
 
 
-@functools.lru_cache(maxsize=1)
-def tokenizer(vocabulary: str):
-    from tokenizers import Tokenizer
-
-    found = Tokenizer.from_str(vocabulary)
-    found.no_truncation()
-    found.no_padding()
-    return found
-
-
 def ordered_texts(df: DataFrame, partitions: int) -> DataFrame:
     """``doc_id, text``: partitions in ascending order, rows in ascending order within them."""
     rows = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
@@ -64,24 +54,23 @@ def write_tokens(
     """Encode every text, end it by ``end_id`` and write the ids to ORC files below ``folder``."""
     spark = df.sparkSession
     vocabulary = spark.sparkContext.broadcast(vocabulary_text(vocabulary_path))
+    end = np.array([end_id], dtype="<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library, part, before = tokenizer(vocabulary.value), TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids = []
-            for value in batch.column(1):
-                own = library.encode(value.as_py(), add_special_tokens=False).ids
-                own.append(end_id)
-                ids.append(np.array(own, dtype=np.int32))
-            counts = np.array([len(own) for own in ids], dtype=np.int64)
+            packed = [library.encode_packed(value.as_py()) + end for value in batch.column(1)]
+            counts = np.array([len(own) // 4 for own in packed], dtype=np.int64)
             stops = before + np.cumsum(counts)
+            places = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(places), pa.array(np.frombuffer(b"".join(packed), dtype=np.int32)))
             yield pa.record_batch(
                 [
-                    pa.array(np.full(len(ids), part, dtype=np.int32)),
+                    pa.array(np.full(len(packed), part, dtype=np.int32)),
                     pa.array(stops - counts),
                     batch.column(0),
                     pa.array(counts),
-                    pa.array(ids, pa.list_(pa.int32())),
+                    ids,
                 ],
                 ["part", "at", "doc_id", "n_tokens", "ids"],
             )
