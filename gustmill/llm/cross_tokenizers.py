@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gustmill.llm.bpe import _byte_symbols
+from gustmill.llm.piecewise import PiecewiseTokenizer
 from gustmill.llm.tables import scratch_folder, text_of
 
 #: Links that a task gathers before it folds them into its table of distinct pairs.
@@ -48,35 +49,48 @@ class Pair:
     def __init__(self, byte_level: str, pieces: bytes):
         """``byte_level``: a tokenizers JSON file's text; ``pieces``: a sentencepiece model."""
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(byte_level)
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True
+        self.bytes_a = bytes_of_byte_level(byte_level)
+        self.a = PiecewiseTokenizer(byte_level, plain_specials=True)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
         self.bytes_a = bytes_of_byte_level(byte_level)
         self.bytes_b = bytes_of_pieces(self.b)
         self.widths_a = np.array([len(s) for s in self.bytes_a], dtype=np.int64)
         self.widths_b = np.array([len(s) for s in self.bytes_b], dtype=np.int64)
-        self.names = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
-
-    def tokens(self, text: str) -> tuple[list[int], list[int]]:
-        """Ids of both; empty where one of them does not spell the text."""
-        if not text:
-            return [], []
-        spelled = (" " + text).encode()
-        a = self.a.encode(" " + text, add_special_tokens=False).ids
-        b = self.b.encode(text)
-        if b"".join(map(self.bytes_a.__getitem__, a)) != spelled or b"".join(map(self.bytes_b.__getitem__, b)) != spelled:
-            return [], []
-        return a, b
-
-    def groups(self, text: str) -> tuple[list[int], list[int], list[tuple[int, int, int]]]:
-        a, b = self.tokens(text)
-        if not a:
-            return a, b, []
-        return a, b, cut(np.cumsum(self.widths_a[a]).tolist(), np.cumsum(self.widths_b[b]).tolist())
+        self.digits, self.n_digits = _decimals(max(len(self.bytes_a), len(self.bytes_b)))
+
+    def groups(self, text: str) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+        """Ids of both and their cuts; empty where one of them does not spell the text."""
+        if text:
+            spelled, a, two = (" " + text).encode(), self.a.encode(" " + text), self.b.encode(text)
+            right = self.a.spelled
+            if right is None:
+                right = _spell(self.bytes_a, a.tolist()) == spelled
+            if right and _spell(self.bytes_b, two) == spelled:
+                b = np.array(two, dtype=np.uint32)
+                return a, b, cut(self.widths_a[a].cumsum().tolist(), self.widths_b[b].cumsum().tolist())
+        none = np.zeros(0, dtype=np.uint32)
+        return none, none, []
+
+    def written(self, a: np.ndarray, b: np.ndarray, runs: list[tuple[int, int, int]]) -> tuple[bytes, np.ndarray]:
+        """Groups as ``a1,a2|b1;a3|b2,b3``, and the linked id pairs as one number each.
+
+        The ids of all groups, A's before B's in each, are looked up as rows of digits; each is
+        followed by the sign for what comes after it.
+        """
+        last_a, last_b = links_of(runs, len(a), len(b))
+        if not len(last_a):
+            return b"", np.zeros(0, dtype=np.int64)
+        # Before a token of A stand the tokens of B of earlier groups; before one of B all of A's up to its group.
+        place_a = np.arange(len(a)) + np.repeat(np.concatenate(([0], last_b[:-1] + 1)), np.diff(last_a, prepend=-1))
+        place_b = np.arange(len(b)) + np.repeat(last_a + 1, np.diff(last_b, prepend=-1))
+        ids, signs = np.empty(len(a) + len(b), dtype=np.int64), np.full(len(a) + len(b), ord(","), dtype=np.uint8)
+        ids[place_a], ids[place_b] = a, b
+        signs[place_a[last_a]], signs[place_b[last_b]] = ord("|"), ord(";")
+        rows, width = self.digits[ids], self.n_digits[ids]
+        rows[np.arange(len(ids)), width] = signs
+        out = rows[np.arange(rows.shape[1]) <= width[:, None]]
+        return out[:-1].tobytes(), _codes(a[last_a], b[last_b])
 
     def most_pairs(self) -> int:
         """Bound of the distinct id pairs whose byte strings can end together."""
@@ -124,7 +138,7 @@ def cut(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     while i < n_a:
         if a[i] == b[j]:
             # a[i:i + n] and b[j:j + n] agree; probe on from there at the shift j - i.
-            n, step = 1, 1
+            n, step = 1, 2
             room = min(n_a - i, n_b - j)
             while step and n < room:
                 step = min(step, room - n)
@@ -161,31 +175,27 @@ def cut(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     return runs
 
 
-def links_of(a: list[int], b: list[int], runs: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
-    """The tokens that end each group."""
-    of_a: list[int] = []
-    of_b: list[int] = []
-    for k, (i, j, n) in enumerate(runs):
-        if n:
-            of_a += a[i : i + n]
-            of_b += b[j : j + n]
-        else:
-            x, y = runs[k + 1][:2] if k + 1 < len(runs) else (len(a), len(b))
-            of_a.append(a[x - 1])
-            of_b.append(b[y - 1])
-    return of_a, of_b
-
-
-def written(a: list[str], b: list[str], runs: list[tuple[int, int, int]]) -> str:
-    """Groups as ``a1,a2|b1;a3|b2,b3``."""
-    out: list[str] = []
-    for k, (i, j, n) in enumerate(runs):
-        if n:
-            out += [f"{x}|{y}" for x, y in zip(a[i : i + n], b[j : j + n], strict=True)]
-        else:
-            x, y = runs[k + 1][:2] if k + 1 < len(runs) else (len(a), len(b))
-            out.append(f"{','.join(a[i:x])}|{','.join(b[j:y])}")
-    return ";".join(out)
+def links_of(runs: list[tuple[int, int, int]], n_a: int, n_b: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the tokens that end each group."""
+    table = np.array([*runs, (n_a, n_b, 0)], dtype=np.int64)
+    n = table[:-1, 2]
+    # Those of a run from its start, that of an irregular group before the next run.
+    first = np.where(n[:, None] == 0, table[1:, :2] - 1, table[:-1, :2])
+    sizes = np.maximum(n, 1)
+    within = np.arange(sizes.sum()) - np.repeat(sizes.cumsum() - sizes, sizes)
+    return np.repeat(first[:, 0], sizes) + within, np.repeat(first[:, 1], sizes) + within
+
+
+def _spell(strings: list[bytes], ids: list[int]) -> bytes:
+    return b"".join(map(strings.__getitem__, ids))
+
+
+def _decimals(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers below ``n`` as rows of digits with room for a sign, and their widths."""
+    names = [str(i).encode() for i in range(n)]
+    width = len(names[-1]) + 1
+    rows = np.frombuffer(b"".join(name.ljust(width) for name in names), dtype=np.uint8).reshape(n, width)
+    return rows, np.array([len(name) for name in names])
 
 
 @functools.lru_cache(maxsize=1)
@@ -209,9 +219,9 @@ def aligned(df: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text:
             of_a, of_b, groups = [], [], []
             for value in batch.column(1):
                 a, b, runs = pair.groups(value.as_py())
-                of_a.append(a)
-                of_b.append(b)
-                groups.append(written([pair.names[i] for i in a], [pair.names[i] for i in b], runs))
+                of_a.append(a.astype(np.int32))
+                of_b.append(b.astype(np.int32))
+                groups.append(pair.written(a, b, runs)[0].decode())
             ids = pa.list_(pa.int32())
             yield pa.record_batch([batch.column(0), pa.array(of_a, ids), pa.array(of_b, ids), pa.array(groups)], ["key", "a", "b", "groups"])
 
@@ -244,14 +254,12 @@ def counted_links(df: DataFrame, a_path: str, b_path: str) -> DataFrame:
             n_a, n_b, n_groups, digests, of_a, of_b, times = [], [], [], [], [], [], []
             for value in batch.column(1):
                 a, b, runs = pair.groups(value.as_py())
-                named = pair.names.__getitem__
-                groups = written(list(map(named, a)), list(map(named, b)), runs)
-                digests.append(hashlib.sha256(groups.encode()).hexdigest() if a else "")
-                left, right = links_of(a, b, runs)
-                codes, counts = np.unique(_codes(np.array(left), np.array(right)), return_counts=True)
+                groups, links = pair.written(a, b, runs)
+                digests.append(hashlib.sha256(groups).hexdigest() if len(a) else "")
+                codes, counts = np.unique(links, return_counts=True)
                 n_a.append(len(a))
                 n_b.append(len(b))
-                n_groups.append(len(left))
+                n_groups.append(len(links))
                 of_a.append((codes >> 32).astype(np.int32))
                 of_b.append((codes & 0xFFFFFFFF).astype(np.int32))
                 times.append(counts.astype(np.int32))

@@ -13,7 +13,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from gustmill.llm import cross_tokenizers, queries, token_files, whitening
+from gustmill.llm import cross_tokenizers, piecewise, queries, token_files, whitening
 
 BYTES, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 SMALL = "/root/testdata/sf0.001"
@@ -149,6 +149,26 @@ def test_corrections_beat_float32():
     assert error(single) > 1e-7 and error(whitening.eigenvectors(a)[1]) < 1e-13
 
 
+# Pieces
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_ids_are_the_librarys(spark, plain, monkeypatch):
+    monkeypatch.setattr(piecewise, "MEMO_PIECES", 50)  # generations change often
+    library = Tokenizer.from_file(BYTES)
+    library.encode_special_tokens = plain
+    with open(BYTES, encoding="utf-8") as file:
+        ours = piecewise.PiecewiseTokenizer(file.read(), plain)
+    rng = np.random.default_rng(1)
+    known = [chr(c) for c in [*range(0x250), *range(0x2010, 0x2028), *range(0x2030, 0x205F)]]
+    often = list(" \n\t'srtvemdlaZ09.,\xa0\x85é<|>") + ["  ", "'s", "'ll", "<|endoftext|>", " \n"]
+    texts = ["".join(rng.choice(known if n % 2 else often, 60)) for n in range(1500)] + [t or "" for _, t, _ in ODD]
+    texts += ["".join(map(chr, rng.integers(0x250, 0xD800, 20))) for _ in range(200)]
+    for text in texts:
+        assert ours.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    assert len(ours.memo) <= 51 and len(ours.memo.old) <= 51
+
+
 # Token files
 
 
