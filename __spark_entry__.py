@@ -6,7 +6,6 @@ Every query reads telemetry derived from the ``events`` table. Timestamps leave
 
 from __future__ import annotations
 
-import importlib.util
 import uuid
 from collections.abc import Callable
 
@@ -297,29 +296,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return _hourly_energy(spark, SMOKE_DIR)
 
 
-def _has_llm() -> bool:
-    return all(map(importlib.util.find_spec, ("gustmill.llm", "corpus_pipeline")))
+def _corpus_modules():
+    """The corpus queries and their pipeline; none where they, or what they import, are not there."""
+    try:
+        import corpus_pipeline
+        from gustmill.llm import queries as corpus_queries
+    except ImportError:
+        return None
+    return corpus_queries, corpus_pipeline
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = _telemetry_queries()
-    if _has_llm():
-        import corpus_pipeline
-        from gustmill.llm import queries as llm
-
-        found |= llm.queries() | {"pipeline": corpus_pipeline.run}
+    if modules := _corpus_modules():
+        found |= modules[0].queries() | {"pipeline": modules[1].run}
     return found
 
 
 def oracle_sql() -> dict[str, str]:
     found = _telemetry_sql()
-    if _has_llm():
-        import corpus_pipeline
-        from gustmill.llm import queries as llm
-
-        found |= llm.oracle_sql()
-        if corpus_pipeline.ORACLE_SQL:
-            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    if modules := _corpus_modules():
+        found |= modules[0].oracle_sql()
+        if modules[1].ORACLE_SQL:
+            found["pipeline"] = modules[1].ORACLE_SQL
     return found
 
 
