@@ -179,6 +179,10 @@ def contamination_digests(df: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean_documents(df: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``df`` that are not contaminated."""
-    judged = contamination(df, benchmark).withColumn("_n_hit", n_hit())
-    return judged.filter(~contaminated(F.col("_n_hit"), F.col("_n_words"))).select(*df.columns)
+    """The rows of ``df`` that are not contaminated.
+
+    The columns of ``df`` travel as one, so that their names clash with none used here.
+    """
+    judged = contamination(df.select(F.struct("*").alias("row"), "doc_id", "text"), benchmark)
+    judged = judged.withColumn("_n_hit", n_hit())
+    return judged.filter(~contaminated(F.col("_n_hit"), F.col("_n_words"))).select("row.*")

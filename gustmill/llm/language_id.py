@@ -190,6 +190,9 @@ def language_of(df: DataFrame) -> DataFrame:
 
 
 def accepted(df: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose text has a letter, also where no language could be learned."""
-    found = with_language(df, _learned(df))
-    return found.filter("_language.letters").select(*df.columns)
+    """The rows of ``df`` whose text has a letter, also where no language could be learned.
+
+    The columns of ``df`` travel as one, so that their names clash with none used here.
+    """
+    found = with_language(df.select(F.struct("*").alias("row"), "text"), _learned(df))
+    return found.filter("_language.letters").select("row.*")

@@ -31,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gustmill.llm.components import min_labels
 from gustmill.llm.tables import free_finished_shuffles, maybe_broadcast, measured_broadcast, saved, text_of
@@ -283,16 +284,31 @@ def _compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
 
 
 def keep_one(df: DataFrame) -> DataFrame:
-    """The rows of ``df``, one of each group of near-duplicates; rows without doc_id stay."""
-    kept = linked_components(df).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    columns = [F.col(c) for c in df.columns]
-    once = df.join(kept, "doc_id", "left_semi").select(*columns)
-    order = F.row_number().over(_first_of("doc_id", df.columns)).alias("_place")
-    once = once.select(*columns, order).filter("_place = 1").select(*columns)
-    return once.unionByName(df.filter("doc_id IS NULL"))
+    """The rows of ``df``, one of each group of near-duplicates; rows without doc_id stay.
 
-
-def _first_of(key: str, columns: list[str]):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(key).orderBy(*[F.col(c) for c in columns if c != key])
+    Rows that share a doc_id and differ in text count as documents of their own here: all texts of an
+    id but the first get an id beyond all others for the search, so of a group a document with
+    an id of its own stays, if there is one. Of equal rows by id and text one stays, the
+    first by the other columns. The columns of ``df`` travel as one, so that their names clash
+    with none used here.
+    """
+    rows = df.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    rows = rows.withColumn("mark", F.md5(F.encode(text_of(), "utf-8")))
+    named = rows.filter("doc_id IS NOT NULL")
+    texts = named.groupBy("doc_id").agg(F.min("mark").alias("first"), F.max("mark").alias("last"))
+    several = texts.filter("first != last").select("doc_id", "first")
+    others = named.join(several, "doc_id").filter("mark != first").select("doc_id", "mark").distinct()
+    others = saved(others.withColumn("n", F.monotonically_increasing_id()))
+    vertex = F.col("doc_id")
+    if not others.isEmpty():
+        beyond = named.agg(F.max("doc_id")).first()[0] + 1
+        if beyond > 1 << 62:
+            raise ValueError("ids beyond 2 ** 62 leave no room for texts that share one")
+        named = named.join(others, ["doc_id", "mark"], "left")
+        vertex = F.coalesce(F.col("n") + beyond, "doc_id")
+    named = named.select("row", "mark", "text", vertex.alias("doc_id"))
+    kept = linked_components(named).filter("kept").select("doc_id").distinct()
+    once = named.join(kept, "doc_id", "left_semi")
+    order = Window.partitionBy("doc_id").orderBy(*[F.col("row").getField(c) for c in df.columns if c != "doc_id"])
+    once = once.withColumn("place", F.row_number().over(order)).filter("place = 1")
+    return once.select("row.*").unionByName(rows.filter("doc_id IS NULL").select("row.*"))

@@ -153,15 +153,31 @@ def _battery(token: Column, encoding: Column, pairs: Column) -> Column:
         z_even = (chi - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free))  # Wilson and Hilferty
         following = F.zip_with(F.slice(values, F.lit(1), F.size(values) - 1), F.slice(values, F.lit(2), F.size(values) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
         above = F.aggregate(values, F.lit(0.0), lambda a, v: a + F.when(v * 2 > size, 1.0).otherwise(0.0))
-        changes = F.aggregate(following, F.lit(0.0), lambda a, p: a + F.when((p["a"] * 2 > size) != (p["b"] * 2 > size), 1.0).otherwise(0.0))
-        expected = 2 * above * (n - above) / n
-        spread = F.sqrt(expected * (expected - 1) / (n - 1))
-        z_runs = F.when(spread > 0, (changes - expected) / spread).otherwise(99.0)
         mean = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / n
-        around = F.aggregate(values, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean))
-        beside = F.aggregate(following, F.lit(0.0), lambda a, p: a + (p["a"] - mean) * (p["b"] - mean))
-        z_serial = F.when(around > 0, (beside / around + 1 / n) * F.sqrt(n)).otherwise(99.0)
-        return F.struct(z_even.alias("even"), z_runs.alias("runs"), z_serial.alias("serial"))
+
+        def moments(m: Column) -> Column:
+            """One pass each over the values and over the neighbours, with ``m`` at hand."""
+            away = lambda v: v - m["mean"]
+            beside = F.aggregate(
+                following,
+                F.struct(F.lit(0.0).alias("changes"), F.lit(0.0).alias("products")),
+                lambda a, p: F.struct(
+                    (a["changes"] + F.when((p["a"] * 2 > size) != (p["b"] * 2 > size), 1.0).otherwise(0.0)).alias("changes"),
+                    (a["products"] + away(p["a"]) * away(p["b"])).alias("products"),
+                ),
+            )
+            around = F.aggregate(values, F.lit(0.0), lambda a, v: a + away(v) * away(v))
+            expected = 2 * m["above"] * (n - m["above"]) / n
+            return F.struct(beside.alias("beside"), around.alias("around"), expected.alias("expected"))
+
+        def statistics(m: Column) -> Column:
+            expected, around = m["expected"], m["around"]
+            spread = F.sqrt(expected * (expected - 1) / (n - 1))
+            z_runs = F.when(spread > 0, (m["beside"]["changes"] - expected) / spread).otherwise(99.0)
+            z_serial = F.when(around > 0, (m["beside"]["products"] / around + 1 / n) * F.sqrt(n)).otherwise(99.0)
+            return F.struct(z_even.alias("even"), z_runs.alias("runs"), z_serial.alias("serial"))
+
+        return let(let(F.struct(mean.alias("mean"), above.alias("above")), moments), statistics)
 
     folded = F.when(encoding.isin("hex", "alnum"), F.lower(token)).otherwise(token)
     alphabet = _alphabet(encoding)
@@ -362,8 +378,11 @@ def secret_digests(df: DataFrame) -> DataFrame:
 
 
 def redacted(df: DataFrame) -> DataFrame:
-    """The rows of ``df`` with every secret replaced by ``MARK``; ``n_chars`` follows, if there is one."""
-    found = with_spans(df)
+    """The rows of ``df`` with every secret replaced by ``MARK``; ``n_chars`` follows, if there is one.
+
+    The columns of ``df`` travel as one, so that their names clash with none used here.
+    """
+    found = with_spans(df.select(F.struct("*").alias("row"), "text"))
 
     def cut(spans: Column) -> Column:
         # Spans are in order; one that begins within an earlier one only lengthens it.
@@ -384,9 +403,15 @@ def redacted(df: DataFrame) -> DataFrame:
         return F.concat(F.array_join(parts, ""), rest)
 
     text = F.when(F.size("_spans") == 0, F.col("text")).otherwise(let(F.col("_spans"), cut))
-    changed = found.withColumn("text", text).withColumn("_changed", F.size("_spans") > 0)
-    if "n_chars" in df.columns:
-        kind = df.schema["n_chars"].dataType
-        n_chars = F.when(F.col("_changed"), F.length("text").cast(kind)).otherwise(F.col("n_chars"))
-        changed = changed.withColumn("n_chars", n_chars)
-    return changed.select(*df.columns)
+    changed = found.select("row", text.alias("text"), (F.size("_spans") > 0).alias("changed"))
+
+    def column(name: str) -> Column:
+        old = F.col("row").getField(name)
+        if name == "text":
+            return F.col("text")
+        if name == "n_chars":
+            new = F.length("text").cast(df.schema[name].dataType)
+            return F.when(F.col("changed"), new).otherwise(old).alias(name)
+        return old.alias(name)
+
+    return changed.select(*map(column, df.columns))
