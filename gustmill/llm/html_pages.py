@@ -7,7 +7,9 @@ common subsequence, and shared lines are deleted: what a site repeats is not the
 
 Markup only follows: scripts, styles, forms and page furniture (by element, role or class) go even
 if no neighbour repeats them. A neighbour that shares more than half of the characters of the page's
-article elements is a copy of the page, not of its site: the lines within them then stay.
+article elements is a copy of the page, not of its site: the lines within them then stay. Otherwise headings
+and text stay there too, as articles may quote each other: of an article's shared lines those go that are
+neither a heading nor a sentence and have few words, such as a link or a button.
 
 A null html is empty and gives an empty text. A page whose url has no host, or that is alone on its
 host, has no partner. Pages with equal urls are neighbours, in order of page_id. Rows that repeat
@@ -42,7 +44,9 @@ BLOCKS = set(
     "summary table tbody td tfoot th thead tr ul".split()
 )
 CONTAINERS = BLOCKS - set("p li dt dd h1 h2 h3 h4 h5 h6 hr td th tr tbody thead tfoot option caption legend pre".split())
-VOID_CONTAINERS = {"html", "body"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Words of the longest shared line that an article loses, if it has no full stop.
+LABEL_WORDS = 5
 FURNITURE = {"nav", "footer", "aside", "form", "dialog", "menu", "head", "select"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu"}
 # Words in a class or id that mark a container as page furniture.
@@ -66,19 +70,19 @@ def _is_furniture(name: str, attributes: str, in_article: bool) -> bool:
     return bool(MARKS & set(_WORDS.findall(found.get("class", "") + " " + found.get("id", ""))))
 
 
-def page_lines(page: str) -> list[tuple[str, bool, bool]]:
-    """Lines of a page in order: text, whether furniture, whether within the article."""
-    lines: list[tuple[str, bool, bool]] = []
+def page_lines(page: str) -> list[tuple[str, bool, bool, bool]]:
+    """Lines of a page in order: text, whether furniture, whether within the article, whether a heading."""
+    lines: list[tuple[str, bool, bool, bool]] = []
     parts: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # name, furniture, article, each with what is around
     mains = False
-    furniture = article = False
+    furniture = article = heading = False
 
     def end_line() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            lines.append((text, furniture, article))
+            lines.append((text, furniture, article, heading))
 
     at, size = 0, len(page)
     while at < size:
@@ -105,6 +109,7 @@ def page_lines(page: str) -> list[tuple[str, bool, bool]]:
         if name not in BLOCKS and not marked and not any(s[0] == name for s in stack):
             continue
         end_line()
+        heading = name in HEADINGS and not tag[1]
         if name not in CONTAINERS and not marked and not (not tag[1] and _is_furniture(name, tag[3], article)):
             if not tag[1] or not any(s[0] == name for s in stack):
                 continue
@@ -158,16 +163,21 @@ def nearest(path: str, before: str | None, after: str | None) -> int:
     return int(len(os.path.commonprefix((path, after))) > len(os.path.commonprefix((path, before))))
 
 
-def main_text(lines: list[tuple[str, bool, bool]], partner: list[str] | None) -> list[str]:
+def _label(text: str) -> bool:
+    """Whether a line is too short for a text, and no sentence."""
+    return len(text.split()) <= LABEL_WORDS and not re.search(r"[.!?:;…][\"'”»)]*$", text)
+
+
+def main_text(lines: list[tuple[str, bool, bool, bool]], partner: list[str] | None) -> list[str]:
     """The lines that are left, in order."""
     shared = shared_lines([line[0] for line in lines], partner) if partner else set()
-    own = {i: len(text) for i, (text, furniture, article) in enumerate(lines) if article and not furniture}
-    if 2 * sum(n for i, n in own.items() if i in shared) > sum(own.values()):
-        shared -= own.keys()
-    return [text for i, (text, furniture, _) in enumerate(lines) if not furniture and i not in shared]
+    own = {i: len(text) for i, (text, furniture, article, _) in enumerate(lines) if article and not furniture}
+    copied = 2 * sum(n for i, n in own.items() if i in shared) > sum(own.values())
+    shared -= {i for i in own if copied or lines[i][3] or not _label(lines[i][0])}
+    return [line[0] for i, line in enumerate(lines) if not line[1] and i not in shared]
 
 
-LINES = "page_id bigint, url string, key string, host string, path string, lines array<string>, flags array<int>"
+LINES = "page_id bigint, url string, key string, host string, path string, part int, edge int, lines array<string>, flags array<int>"
 OUT = "page_id bigint, url string, text string, n_chars bigint"
 
 
@@ -176,11 +186,15 @@ def _lines(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                read = [page_lines(v.as_py()) for v in part.column(5)]
+                read = [page_lines(v.as_py()) for v in part.column(7)]
                 lines = pa.array([[x[0] for x in page] for page in read], pa.list_(pa.string()))
-                flags = pa.array([[x[1] + 2 * x[2] for x in page] for page in read], pa.list_(pa.int32()))
-                yield pa.record_batch([*part.columns[:5], lines, flags], [f.split()[0] for f in LINES.split(", ")])
+                flags = pa.array([[x[1] + 2 * x[2] + 4 * x[3] for x in page] for page in read], pa.list_(pa.int32()))
+                yield pa.record_batch([*part.columns[:-1], lines, flags], [f.split()[0] for f in LINES.split(", ")])
+
+    return pages.select("page_id", "url", "key", "host", "path", "part", "edge", "html").mapInArrow(work, LINES)
+
 
+def _keyed(pages: DataFrame) -> DataFrame:
     url = F.col("url").cast("string")
     page_id = F.col("page_id").cast("bigint")
     parts = pages.select(
@@ -188,15 +202,16 @@ def _lines(pages: DataFrame) -> DataFrame:
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
     )
     key = F.concat_ws("\x01", "host", "path", F.lpad(F.coalesce(F.col("page_id").cast("string"), F.lit("")), 20, "0"))
-    return parts.select("page_id", "url", key.alias("key"), "host", "path", "html").mapInArrow(work, LINES)
+    return parts.select("page_id", "url", key.alias("key"), "host", "path", "html")
 
 
 def extracted(pages: DataFrame, joint: str = "\n") -> DataFrame:
     """``page_id, url, text, n_chars`` of every row, with ``joint`` between blocks."""
-    rows = in_order(_lines(pages), wrap=False).select("part", "edge", "page_id", "url", "host", "path", "lines", "flags")
+    # The pages are dealt by their urls and read on their way, once.
+    rows = in_order(_keyed(pages), False, _lines).select("part", "edge", "page_id", "url", "host", "path", "lines", "flags")
 
     def result(before, row, after) -> tuple:
-        lines = [(t, bool(f & 1), bool(f & 2)) for t, f in zip(row[6], row[7], strict=True)]
+        lines = [(t, bool(f & 1), bool(f & 2), bool(f & 4)) for t, f in zip(row[6], row[7], strict=True)]
         sides = [x if x is not None and x[0] == row[0] and x[4] == row[4] and row[4] else None for x in (before, after)]
         chosen = nearest(row[5], *[x[5] if x else None for x in sides])
         text = joint.join(main_text(lines, sides[chosen][6] if chosen >= 0 else None))

@@ -9,6 +9,7 @@ after it.
 from __future__ import annotations
 
 import bisect
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -31,11 +32,12 @@ def bounds_of(keys: DataFrame, parts: int) -> list[str]:
     return found[step::step]
 
 
-def in_order(df: DataFrame, wrap: bool) -> DataFrame:
+def in_order(df: DataFrame, wrap: bool, shaped: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``df`` (with a string ``key``, not null) dealt into sorted parts.
 
     Adds ``part`` and ``edge``: OWN for a row, FIRST and LAST for copies of the neighbours'
     rows. With ``wrap`` the first row of all also follows the last. Equal keys share a part.
+    ``df`` is read several times for its keys; ``shaped`` is applied once, to the rows that move.
     """
     spark = df.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -64,6 +66,7 @@ def in_order(df: DataFrame, wrap: bool) -> DataFrame:
 
         return key.map(of)
 
-    dealt = df.withColumn("place", F.explode(places("key")))
-    dealt = dealt.select(*df.columns, "place.part", "place.edge").repartition(partitions, "part")
-    return dealt.sortWithinPartitions("part", "edge", "key", *[c for c in df.columns if c != "key"])
+    dealt = df.withColumn("place", F.explode(places("key"))).select(*df.columns, "place.part", "place.edge")
+    dealt = shaped(dealt) if shaped else dealt
+    rest = [c for c in dealt.columns if c not in ("part", "edge", "key")]
+    return dealt.repartition(partitions, "part").sortWithinPartitions("part", "edge", "key", *rest)
