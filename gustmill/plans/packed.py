@@ -276,15 +276,16 @@ class PackedLake:
             return path
         rows, again = self._restricted(name, source, came, staged, n_open), {}
         counted = Observation()
-        new = derive(rows).withColumn("day", F.col("date"))
-        measures = F.count(F.lit(1)).alias("rows"), F.count_if(F.expr(flagged)).alias("flagged")
-        new = new.observe(counted, *measures)
+        new = derive(rows).withColumns({"day": F.col("date"), "fresh": F.lit(True)})
         if n_again:
             again = self._days_again(name, staged)
             kept = self._read(name, have, again)
             redone = self._open_in(name, staged).filter("again").select(*HOUR)
             kept = kept.join(_sized(redone, n_again), list(HOUR), "left_anti")
-            new = new.unionByName(kept.withColumn("day", F.col("date")))
+            new = new.unionByName(kept.withColumns({"day": F.col("date"), "fresh": F.lit(False)}))
+        # Counted over all that is written, as a plan of no rows would not report.
+        measures = F.count_if("fresh").alias("rows"), F.count_if(F.expr(f"fresh AND {flagged}")).alias("flagged")
+        new = new.observe(counted, *measures).drop("fresh")
         added = self._write_rows(name, new)
         removed = {day: have.rows[day] for day in again if have.rows.get(day)}
 

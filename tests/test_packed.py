@@ -116,6 +116,15 @@ def test_hour_that_loses_all_rows_leaves_silver(spark, lake):
     assert lake.silver().count() == 1 and lake.closed("silver").count() == 2
 
 
+def test_hour_without_any_turbine_runs_again_beside_others(spark, lake):
+    lake.write_bronze(hours_of(spark, 0, 0).union(telemetry(spark, {"turbine_id": None, "event_time": at(1)})))
+    run_all(lake)
+    assert lake.hourly_energy().count() == 2 and lake.closed("hourly_energy").count() == 2
+    lake.reopen("hourly_energy", hour_list(spark, "2026-01-05T01:00:00Z"))
+    lake.run_hourly_energy(DT)
+    assert lake.hourly_energy().count() == 2 and lake.closed("hourly_energy").count() == 2
+
+
 def test_gold_takes_hours_that_silver_has_closed(spark, lake):
     lake.write_bronze(hours_of(spark, 0, 1))
     lake.run_silver()
