@@ -23,6 +23,8 @@ log = logging.getLogger("gustmill")
 
 REQUIRED = ("event_time", "farm_id", "sim_run_id", "ingest_time")
 RUN_AND_FARM = ("sim_run_id=*", "farm_id=*")
+#: Runs named in the message of a failed presence check.
+NAMED_RUNS = 100
 
 
 class Lake:
@@ -45,7 +47,7 @@ class Lake:
     def _read(self, layer: str, schema, dates: Sequence[str] | None) -> DataFrame:
         path = self.path(layer)
         if not files.path_exists(self.spark, path):
-            raise FileNotFoundError(f"{layer} path not found: {path}")
+            raise FileNotFoundError(f"there is no {layer} at {path}")
         return files.read_partitioned(self.spark, path, schema, RUN_AND_FARM, dates)
 
     def bronze(self, dates: Sequence[str] | None = None) -> DataFrame:
@@ -70,10 +72,10 @@ class Lake:
         """Append telemetry. Duplicates and faulty rows are kept."""
         missing = set(REQUIRED) - set(df.columns)
         if missing:
-            raise ValueError(f"Missing required columns: {sorted(missing)}")
+            raise ValueError(f"telemetry lacks the columns {sorted(missing)}")
         absent = set(schemas.TELEMETRY.names) - set(df.columns)
         if absent:
-            raise KeyError(f"Missing contract columns: {sorted(absent)}")
+            raise KeyError(f"telemetry lacks the columns {sorted(absent)}")
         if df.isEmpty():
             raise ValueError("No rows to write to bronze")
         files.append(
@@ -95,7 +97,7 @@ class Lake:
         layer = bronze.withColumnRenamed("hour", "hour_key")
         increment = open_increment(layer, self.ledger.closed("silver", dates))
         if increment.n_present == 0 and dates is None and bronze.isEmpty():
-            raise ValueError("No data found in bronze")
+            raise ValueError(f"No data: bronze at {self.path('bronze')} is empty")
         path = self.path("silver")
         if increment.n_hours == 0:
             log.info("silver: no new hours to process")
@@ -187,8 +189,8 @@ class Lake:
         table = self._read(layer, schema, dates)
         missing = sorted(row["sim_run_id"] for row in missing_runs(table, expected).collect())
         if missing:
-            found = [r["sim_run_id"] for r in runs_present(table).collect()]
-            raise RuntimeError(f"Missing sim_run_id(s) in {layer}: {missing}. Found: {found}")
+            found = [r["sim_run_id"] for r in runs_present(table).limit(NAMED_RUNS).collect()]
+            raise RuntimeError(f"{layer} has no row of {missing}; it has {found} (at most {NAMED_RUNS} are named)")
 
     def reopen(self, dataset: str, hours: DataFrame) -> None:
         """Have the next run of ``silver``, ``hourly_energy`` or ``farm_kpis`` redo ``hours``."""

@@ -24,7 +24,7 @@ from gustmill.operators.rollups import check_step, farm_kpis, hourly_energy
 from gustmill.operators.runs import missing_runs, runs_present
 from gustmill.operators.telemetry import clean_telemetry, to_bronze, unaddressable
 from gustmill.plans.increment import MAX_BROADCAST_ROWS, MAX_LITERALS
-from gustmill.plans.lake import REQUIRED
+from gustmill.plans.lake import NAMED_RUNS, REQUIRED
 from gustmill.session import require_utc
 from gustmill.sources.versions import Change, ConcurrentChange, Version, VersionLog, new_batch
 
@@ -35,8 +35,6 @@ MOST_HOUR_FOLDERS = 10
 TARGET_BYTES = 128 << 20
 #: Rows that no ledger entry can name lie apart, under this instead of a day.
 UNADDRESSABLE = "unaddressable"
-#: Runs named in the message of a failed presence check.
-NAMED_RUNS = 100
 
 
 @dataclass(frozen=True)
