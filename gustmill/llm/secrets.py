@@ -151,7 +151,8 @@ def _battery(token: Column, encoding: Column, pairs: Column) -> Column:
         free = size - 1
         chi = F.cbrt((size * squares / n - n) / free)
         z_even = (chi - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free))  # Wilson and Hilferty
-        following = F.zip_with(F.slice(values, F.lit(1), F.size(values) - 1), F.slice(values, F.lit(2), F.size(values) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        rest = F.greatest(F.size(values) - 1, F.lit(0))
+        following = F.zip_with(F.slice(values, F.lit(1), rest), F.slice(values, F.lit(2), rest), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
         above = F.aggregate(values, F.lit(0.0), lambda a, v: a + F.when(v * 2 > size, 1.0).otherwise(0.0))
         mean = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / n
 

@@ -98,7 +98,7 @@ def test_the_battery_against_plain_formulas(spark):
 def test_base_spans_against_plain_expressions(spark):
     rng = np.random.default_rng(7)
     parts = ["token", "PASSWORD", "api_key", "apikey", "=", ":", " ", '"', "'", "\n", "é", "AKIA", "ABCDEFGHIJKLMNOP", "0123456789abcdef", "deadbeef", "x", "/+.", "secretpasswd", "-_"]
-    texts = ["".join(rng.choice(parts, 40)) for _ in range(300)] + ["", "deadbeef" * 50]
+    texts = ["".join(rng.choice(parts, 40)) for _ in range(300)] + ["", "deadbeef" * 50, "z" * 40, "_" * 30 + " " + "GHIJ" * 9]
     found = secrets.secret_digests(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     base = [
         ("assign", re.compile(secrets.ASSIGN), 2, 12),
