@@ -4,11 +4,11 @@ Tokenizer A, a byte-level BPE, reads a space and the text; tokenizer B, a piece
 that space before a text itself, reads the text. Both lists of tokens then spell the same
 bytes. Wherever a token of each ends at the same byte, the lists are cut into groups.
 
-``cut`` finds the cuts by diagonal run skipping: while tokens pair one to one, the two arrays
-of ends agree at a fixed shift of their indexes, so probes of doubling length compare whole
-slices and jump the stretch. Where a probe fails it is halved, down to the token that
-differs; the irregular group there is resolved by stepping whichever side lies behind, and
-the shift that it leaves is the next diagonal.
+``cut`` finds the cuts by diagonal run skipping: while tokens pair one to one, the widths of
+both agree at a fixed shift of their indexes, so probes of doubling length compare whole
+slices and jump the stretch. Where a probe fails, the first bit in which its slices differ
+tells the token; the irregular group there is resolved by stepping whichever side lies
+behind, and the shift that it leaves is the next diagonal.
 
 The tokens that end a group end together: they are its link. Of two byte strings that end
 together one is a suffix of the other, so a token of A of m bytes has links with at most m
@@ -42,6 +42,9 @@ from gustmill.llm.tables import scratch_folder, text_of
 #: Links that a task gathers before it folds them into its table of distinct pairs.
 LINKS_AT_ONCE = 1 << 22
 
+#: Tokens that the first probe of a run compares.
+PROBE = 16
+
 
 class Pair:
     """Both tokenizers, with the bytes of every token."""
@@ -50,33 +53,31 @@ class Pair:
         """``byte_level``: a tokenizers JSON file's text; ``pieces``: a sentencepiece model."""
         import sentencepiece
 
-        self.bytes_a = bytes_of_byte_level(byte_level)
         self.a = PiecewiseTokenizer(byte_level, plain_specials=True)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
         self.bytes_a = bytes_of_byte_level(byte_level)
         self.bytes_b = bytes_of_pieces(self.b)
-        self.widths_a = np.array([len(s) for s in self.bytes_a], dtype=np.int64)
-        self.widths_b = np.array([len(s) for s in self.bytes_b], dtype=np.int64)
-        self.digits, self.n_digits = _decimals(max(len(self.bytes_a), len(self.bytes_b)))
+        self.widths_a, self.widths_b = _widths([len(s) for s in self.bytes_a], [len(s) for s in self.bytes_b])
+        self.entries = max(len(self.bytes_a), len(self.bytes_b))
+        self.signed = _signed_decimals(self.entries)
 
-    def groups(self, text: str) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
-        """Ids of both and their cuts; empty where one of them does not spell the text."""
+    def groups(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of both and their runs; empty where one of them does not spell the text."""
         if text:
-            spelled, a, two = (" " + text).encode(), self.a.encode(" " + text), self.b.encode(text)
+            spelled, a, b = (" " + text).encode(), self.a.encode(" " + text), self.b.encode(text, return_type="numpy")
             right = self.a.spelled
             if right is None:
                 right = _spell(self.bytes_a, a.tolist()) == spelled
-            if right and _spell(self.bytes_b, two) == spelled:
-                b = np.array(two, dtype=np.uint32)
-                return a, b, cut(self.widths_a[a].cumsum().tolist(), self.widths_b[b].cumsum().tolist())
+            if right and _spell(self.bytes_b, b.tolist()) == spelled:
+                return a, b, runs_of(self.widths_a[a], self.widths_b[b])
         none = np.zeros(0, dtype=np.uint32)
-        return none, none, []
+        return none, none, np.zeros((0, 3), dtype=np.int64)
 
-    def written(self, a: np.ndarray, b: np.ndarray, runs: list[tuple[int, int, int]]) -> tuple[bytes, np.ndarray]:
+    def written(self, a: np.ndarray, b: np.ndarray, runs: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Groups as ``a1,a2|b1;a3|b2,b3``, and the linked id pairs as one number each.
 
-        The ids of all groups, A's before B's in each, are looked up as rows of digits; each is
-        followed by the sign for what comes after it.
+        The ids of all groups, A's before B's in each, are looked up as decimals that the sign for
+        what comes after them follows.
         """
         last_a, last_b = links_of(runs, len(a), len(b))
         if not len(last_a):
@@ -84,19 +85,18 @@ class Pair:
         # Before a token of A stand the tokens of B of earlier groups; before one of B all of A's up to its group.
         place_a = np.arange(len(a)) + np.repeat(np.concatenate(([0], last_b[:-1] + 1)), np.diff(last_a, prepend=-1))
         place_b = np.arange(len(b)) + np.repeat(last_a + 1, np.diff(last_b, prepend=-1))
-        ids, signs = np.empty(len(a) + len(b), dtype=np.int64), np.full(len(a) + len(b), ord(","), dtype=np.uint8)
-        ids[place_a], ids[place_b] = a, b
-        signs[place_a[last_a]], signs[place_b[last_b]] = ord("|"), ord(";")
-        rows, width = self.digits[ids], self.n_digits[ids]
-        rows[np.arange(len(ids)), width] = signs
-        out = rows[np.arange(rows.shape[1]) <= width[:, None]]
-        return out[:-1].tobytes(), _codes(a[last_a], b[last_b])
+        which = np.empty(len(a) + len(b), dtype=np.int64)
+        which[place_a], which[place_b] = a, b
+        which[place_a[last_a]] += self.entries
+        which[place_b[last_b]] += 2 * self.entries
+        out = self.signed[which].tobytes().translate(None, b"\0")
+        return out[:-1], _codes(a[last_a], b[last_b])
 
     def most_pairs(self) -> int:
         """Bound of the distinct id pairs whose byte strings can end together."""
         same_a = max(np.unique([s for s in self.bytes_a if s], return_counts=True)[1], default=0)
         same_b = max(np.unique([s for s in self.bytes_b if s], return_counts=True)[1], default=0)
-        return int(self.widths_a.sum() * same_b + self.widths_b.sum() * same_a)
+        return int(self.widths_a.sum(dtype=np.int64) * same_b + self.widths_b.sum(dtype=np.int64) * same_a)
 
 
 def bytes_of_byte_level(vocabulary: str) -> list[bytes]:
@@ -132,70 +132,77 @@ def cut(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     ``n`` > 0: ``n`` groups of one token each, from ``a[i]`` and ``b[j]``. ``n`` = 0: one group,
     which ends where the next run starts, or at the end of both lists.
     """
+    return [tuple(run) for run in runs_of(*_widths(np.diff(a, prepend=0), np.diff(b, prepend=0))).tolist()]
+
+
+def runs_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The runs of ``cut``, as rows, from the widths of the tokens, in one unsigned type."""
+    size, n_a, n_b = a.itemsize, len(a), len(b)
+    raw_a, raw_b = a.tobytes(), b.tobytes()
+    a, b = (raw_a, raw_b) if size == 1 else (a.tolist(), b.tolist())
+    number = int.from_bytes
     runs = []
     i = j = 0
-    n_a, n_b = len(a), len(b)
     while i < n_a:
-        if a[i] == b[j]:
-            # a[i:i + n] and b[j:j + n] agree; probe on from there at the shift j - i.
-            n, step = 1, 2
+        ahead = a[i] - b[j]  # of A's end before B's
+        if not ahead:
+            # The ends at i and j agree; probe on from there at the shift j - i.
+            n, step = 1, PROBE
             room = min(n_a - i, n_b - j)
-            while step and n < room:
+            while n < room:
                 step = min(step, room - n)
-                x, y = i + n, j + n
-                if a[x : x + step] == b[y : y + step]:
-                    n += step
-                    step *= 2
-                else:
-                    # The token that differs lies in this probe: close in on it.
-                    while step > 1:
-                        half = step // 2
-                        x, y = i + n, j + n
-                        if a[x : x + half] == b[y : y + half]:
-                            n += half
-                            step -= half
-                        else:
-                            step = half
+                x, y = (i + n) * size, (j + n) * size
+                p, q = raw_a[x : x + step * size], raw_b[y : y + step * size]
+                if p != q:
+                    # The lowest bit that differs lies in the first token that does.
+                    differ = number(p, "little") ^ number(q, "little")
+                    n += ((differ & -differ).bit_length() - 1) // (8 * size)
                     break
-            runs.append((i, j, n))
+                n += step
+                step *= 2
+            runs += i, j, n
             i += n
             j += n
         else:
-            runs.append((i, j, 0))
-            x, y = a[i], b[j]
-            while x != y:
-                if x < y:
+            runs += i, j, 0
+            while ahead:
+                if ahead < 0:
                     i += 1
-                    x = a[i]
+                    ahead += a[i]
                 else:
                     j += 1
-                    y = b[j]
+                    ahead -= b[j]
             i += 1
             j += 1
-    return runs
+    return np.array(runs, dtype=np.int64).reshape(-1, 3)
 
 
-def links_of(runs: list[tuple[int, int, int]], n_a: int, n_b: int) -> tuple[np.ndarray, np.ndarray]:
+def links_of(runs: np.ndarray, n_a: int, n_b: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the tokens that end each group."""
-    table = np.array([*runs, (n_a, n_b, 0)], dtype=np.int64)
-    n = table[:-1, 2]
+    starts, n = np.concatenate((runs[:, :2], [(n_a, n_b)])), runs[:, 2]
     # Those of a run from its start, that of an irregular group before the next run.
-    first = np.where(n[:, None] == 0, table[1:, :2] - 1, table[:-1, :2])
+    first = np.where(n[:, None] == 0, starts[1:] - 1, starts[:-1])
     sizes = np.maximum(n, 1)
-    within = np.arange(sizes.sum()) - np.repeat(sizes.cumsum() - sizes, sizes)
-    return np.repeat(first[:, 0], sizes) + within, np.repeat(first[:, 1], sizes) + within
+    before = sizes.cumsum() - sizes
+    places = np.arange(sizes.sum())
+    return places + np.repeat(first[:, 0] - before, sizes), places + np.repeat(first[:, 1] - before, sizes)
+
+
+def _widths(a, b) -> list[np.ndarray]:
+    """Both in the smallest unsigned type that holds all."""
+    kind = np.min_scalar_type(int(max(np.max(a, initial=0), np.max(b, initial=0))))
+    return [np.asarray(x).astype(kind) for x in (a, b)]
 
 
 def _spell(strings: list[bytes], ids: list[int]) -> bytes:
     return b"".join(map(strings.__getitem__, ids))
 
 
-def _decimals(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers below ``n`` as rows of digits with room for a sign, and their widths."""
-    names = [str(i).encode() for i in range(n)]
-    width = len(names[-1]) + 1
-    rows = np.frombuffer(b"".join(name.ljust(width) for name in names), dtype=np.uint8).reshape(n, width)
-    return rows, np.array([len(name) for name in names])
+def _signed_decimals(n: int) -> np.ndarray:
+    """The numbers below ``n`` before a comma, then before ``|``, then before ``;``, filled up with zero bytes."""
+    names = [f"{i}{sign}".encode() for sign in ",|;" for i in range(n)]
+    width = max(map(len, names))
+    return np.array(names, dtype=f"S{8 * -(-width // 8)}")
 
 
 @functools.lru_cache(maxsize=1)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import sys
 import zlib
 from collections import Counter
 
@@ -314,6 +315,47 @@ def test_cuts_against_common_ends():
         assert not any(one[2] and two[2] for one, two in zip(runs, runs[1:], strict=False))
 
 
+def test_cuts_of_tokens_of_any_width():
+    rng = np.random.default_rng(8)
+    for widest in (3, 255, 256, 70_000):
+        widths = rng.integers(1, widest + 1, 5000)
+        widths[2500] = widest
+        a, b = np.delete(widths.cumsum(), np.arange(9, 4990, 40)), np.delete(widths.cumsum(), np.arange(20, 4990, 200))
+        runs = cross_tokenizers.cut(a.tolist(), b.tolist())
+        ends = np.concatenate([a[i : i + n] for i, _, n in runs])
+        irregular = [a[(runs[k + 1][0] if k + 1 < len(runs) else len(a)) - 1] for k, run in enumerate(runs) if not run[2]]
+        assert sorted([*ends, *irregular]) == sorted(set(a.tolist()) & set(b.tolist()))
+
+
+def test_a_run_takes_few_steps():
+    ends = np.arange(1, 10_001)
+    a, b = ends.tolist(), np.delete(ends, np.arange(9, 9990, 10)).tolist()
+    steps = 0
+
+    def count(frame, event, _):
+        nonlocal steps
+        if frame.f_code.co_filename != cross_tokenizers.__file__:
+            return None
+        steps += event == "line"
+        return count
+
+    before = sys.gettrace()
+    sys.settrace(count)
+    try:
+        runs = cross_tokenizers.cut(a, b)
+    finally:
+        sys.settrace(before)
+    # Eight pairs and a group of two tokens, in turn.
+    assert len(runs) == 1999 and steps < 16 * len(runs)
+
+
+def test_decimals_come_before_their_sign():
+    table = cross_tokenizers._signed_decimals(1001)
+    for place, sign in enumerate(b",|;"):
+        for i in (0, 9, 10, 999, 1000):
+            assert table[place * 1001 + i : place * 1001 + i + 1].tobytes().rstrip(b"\0") == b"%d%c" % (i, sign)
+
+
 def test_linked_pairs_stay_below_their_bound(spark):
     with open(BYTES, encoding="utf-8") as a, open(PIECES, "rb") as b:
         pair = cross_tokenizers.Pair(a.read(), b.read())
