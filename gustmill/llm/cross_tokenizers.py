@@ -45,6 +45,9 @@ LINKS_AT_ONCE = 1 << 22
 #: Tokens that the first probe of a run compares.
 PROBE = 16
 
+#: Bytes up to which tokens are joined by one look-up in a table.
+NARROW = 16
+
 
 class Pair:
     """Both tokenizers, with the bytes of every token."""
@@ -58,6 +61,8 @@ class Pair:
         self.bytes_a = bytes_of_byte_level(byte_level)
         self.bytes_b = bytes_of_pieces(self.b)
         self.widths_a, self.widths_b = _widths([len(s) for s in self.bytes_a], [len(s) for s in self.bytes_b])
+        # Of wider ones the start only.
+        self.narrow_b = np.array(self.bytes_b, dtype=f"S{NARROW}")
         self.entries = max(len(self.bytes_a), len(self.bytes_b))
         self.signed = _signed_decimals(self.entries)
 
@@ -68,8 +73,13 @@ class Pair:
             right = self.a.spelled
             if right is None:
                 right = _spell(self.bytes_a, a.tolist()) == spelled
-            if right and _spell(self.bytes_b, b.tolist()) == spelled:
-                return a, b, runs_of(self.widths_a[a], self.widths_b[b])
+            widths = self.widths_b[b]
+            if widths.max() > NARROW or b"\0" in spelled:
+                right = right and _spell(self.bytes_b, b.tolist()) == spelled
+            else:
+                right = right and self.narrow_b[b].tobytes().translate(None, b"\0") == spelled
+            if right:
+                return a, b, runs_of(self.widths_a[a], widths)
         none = np.zeros(0, dtype=np.uint32)
         return none, none, np.zeros((0, 3), dtype=np.int64)
 
@@ -137,43 +147,42 @@ def cut(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
 
 def runs_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The runs of ``cut``, as rows, from the widths of the tokens, in one unsigned type."""
-    size, n_a, n_b = a.itemsize, len(a), len(b)
-    raw_a, raw_b = a.tobytes(), b.tobytes()
+    size, n_a = a.itemsize, len(a)
+    # Behind their ends, which are the same, the two differ: a probe may reach beyond.
+    raw_a, raw_b = a.tobytes() + b"\x00" * PROBE * size, b.tobytes() + b"\xff" * PROBE * size
     a, b = (raw_a, raw_b) if size == 1 else (a.tolist(), b.tolist())
     number = int.from_bytes
     runs = []
     i = j = 0
     while i < n_a:
-        ahead = a[i] - b[j]  # of A's end before B's
-        if not ahead:
-            # The ends at i and j agree; probe on from there at the shift j - i.
-            n, step = 1, PROBE
-            room = min(n_a - i, n_b - j)
-            while n < room:
-                step = min(step, room - n)
-                x, y = (i + n) * size, (j + n) * size
-                p, q = raw_a[x : x + step * size], raw_b[y : y + step * size]
-                if p != q:
-                    # The lowest bit that differs lies in the first token that does.
-                    differ = number(p, "little") ^ number(q, "little")
-                    n += ((differ & -differ).bit_length() - 1) // (8 * size)
-                    break
-                n += step
-                step *= 2
+        # Before i and j the ends agree; probe on from there at the shift j - i.
+        x, y, step = i * size, j * size, PROBE * size
+        p, q = raw_a[x : x + step], raw_b[y : y + step]
+        while p == q:
+            x += step
+            y += step
+            step *= 2
+            p, q = raw_a[x : x + step], raw_b[y : y + step]
+        # The lowest bit that differs lies in the first token that does.
+        differ = number(p, "little") ^ number(q, "little")
+        n = x // size - i + ((differ & -differ).bit_length() - 1) // (8 * size)
+        if n:
             runs += i, j, n
             i += n
             j += n
-        else:
-            runs += i, j, 0
-            while ahead:
-                if ahead < 0:
-                    i += 1
-                    ahead += a[i]
-                else:
-                    j += 1
-                    ahead -= b[j]
-            i += 1
-            j += 1
+            if i == n_a:
+                break
+        runs += i, j, 0
+        ahead = a[i] - b[j]  # of A's end before B's
+        while ahead:
+            if ahead < 0:
+                i += 1
+                ahead += a[i]
+            else:
+                j += 1
+                ahead -= b[j]
+        i += 1
+        j += 1
     return np.array(runs, dtype=np.int64).reshape(-1, 3)
 
 
